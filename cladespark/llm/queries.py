@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licences, media, packing, secret_scan, token_counts, warc
+from . import bpe, licences, media, packing, secret_scan, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,6 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe)}
 
 ORACLE_SQL: dict[str, str] = {"op3_license_scan": licences.sql()}
