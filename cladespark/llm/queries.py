@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licences, media, packing, secret_scan, token_counts, toxicity, warc
+from . import bpe, licences, media, ngram_join, packing, secret_scan, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_toxicity, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe)}
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_secret_scan, op2_toxicity, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe, op9_ngram_jaccard)
+}
 
 ORACLE_SQL: dict[str, str] = {"op3_license_scan": licences.sql()}
