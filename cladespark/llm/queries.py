@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licences, media, ngram_join, packing, secret_scan, token_counts, toxicity, warc
+from . import bpe, hnsw, licences, media, ngram_join, packing, secret_scan, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +54,13 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op2_toxicity, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe, op9_ngram_jaccard)
+    for f in (op1_secret_scan, op2_toxicity, op3_license_scan, op4_token_counts, op5_media_columns, op6_warc, op7_best_fit_packing, op8_bpe, op9_ngram_jaccard, op10_embedding_near_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {"op3_license_scan": licences.sql()}

@@ -32,6 +32,9 @@ HEX = r"[0-9a-f]{24,}"  # likewise
 LEAST_VALUE = 6
 KINDS = ("assign", "access", "hex", "random")
 
+#: What stands for a secret in a masked text.
+MARK = "[SECRET]"
+
 #: Runs that the battery looks at.
 RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Share of random runs expected among those that the tests throw out.
@@ -168,7 +171,7 @@ def report(spans_: DataFrame) -> DataFrame:
     return spans_.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", text_column: str = "text") -> DataFrame:
+def redact(docs: DataFrame, mark: str = MARK, text_column: str = "text") -> DataFrame:
     """Replaces every span by a mark; spans that overlap are replaced by one. Columns and clean texts stay as they are."""
     found = annotated(docs, text_column)
     limits = thresholds(found)
