@@ -13,6 +13,7 @@ from .functions import gc, lineage
 from .operators import counting, evaluate, gaps, ncbi, pairs, prep, reports, statistics, taxonomy
 from .sinks import reports as sinks
 from .sources import fastq, references, sam
+from .storage import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -103,7 +104,7 @@ def exclude_markers(spark: SparkSession, d: str) -> DataFrame:
 # -- sources ---------------------------------------------------------------------------------------
 
 
-@_query(f"select sample, qname, flag, rname, pos, mapq, cigar, md from alignments where (flag & 4) = 0", "alignments")
+@_query("select sample, qname, flag, rname, pos, mapq, cigar, md from alignments where (flag & 4) = 0", "alignments")
 def sam_parse(spark: SparkSession, d: str) -> DataFrame:
     """Alignments written as SAM lines and parsed again."""
     fields = ["qname", "cast(flag as string)", "rname", "cast(pos as string)", "cast(mapq as string)", "cigar", "'*'", "'0'", "cast(tlen as string)", "'*'", "'*'", "concat('MD:Z:', md)", "concat('RG:Z:', sample)"]
@@ -242,9 +243,9 @@ def insert_size_hist(spark: SparkSession, d: str) -> DataFrame:
 
 def _tree(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clades, where they lead, and the seeded cells."""
-    clades = taxonomy.clade_tree(bridge.taxonomy(spark, d))
-    placed = taxonomy.terminals(clades, LEVELS)
-    return clades, placed, taxonomy.seeded(bridge.marker_reads(spark, d), bridge.markers(spark, d), placed)
+    clades = stored(taxonomy.clade_tree(bridge.taxonomy(spark, d)), "clades")
+    placed = stored(taxonomy.terminals(clades, LEVELS), "placed")
+    return clades, placed, stored(taxonomy.seeded(bridge.marker_reads(spark, d), bridge.markers(spark, d), placed), "cells")
 
 
 def _used(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -546,21 +547,18 @@ def truth_l1(spark: SparkSession, d: str) -> DataFrame:
 
 # -- gaps, sequences, reports ----------------------------------------------------------------------
 
-_GAPS = "select user_id, event_id, epoch_ms(ts) // 1000 as at from events"
-
-
 def _hits(spark: SparkSession, d: str) -> DataFrame:
-    return bridge.table(spark, d, "events").select("user_id", "event_id", F.expr("cast(floor(unix_micros(to_timestamp(ts)) / 1000000) as bigint)").alias("at"))
+    return bridge.table(spark, d, "events").select("user_id", "event_id", F.expr("cast(floor(unix_micros(to_timestamp(ts)) / 1000000) as bigint)").alias("place"))
 
 
-@_query("select user_id, at, at - lag(at) over (partition by user_id order by at) as gap from (select distinct user_id, cast(floor(epoch_us(ts) / 1000000) as bigint) as at from events)")
+@_query("select user_id, place, place - lag(place) over (partition by user_id order by place) as gap from (select distinct user_id, cast(floor(epoch_us(ts) / 1000000) as bigint) as place from events)")
 def position_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return gaps.position_gaps(_hits(spark, d).select("user_id", "at").distinct(), "user_id", "at")
+    return gaps.position_gaps(_hits(spark, d).select("user_id", "place").distinct(), "user_id", "place")
 
 
-@_query("with g as (select user_id, at - lag(at) over (partition by user_id order by at) as gap from (select distinct user_id, cast(floor(epoch_us(ts) / 1000000) as bigint) as at from events)) select user_id, count(*) as hits, round(avg(gap), 4) as mean_gap, round(var_samp(gap), 2) as var_gap, cast(sum(gap) as bigint) as span from g group by user_id")
+@_query("with g as (select user_id, place - lag(place) over (partition by user_id order by place) as gap from (select distinct user_id, cast(floor(epoch_us(ts) / 1000000) as bigint) as place from events)) select user_id, count(*) as hits, round(avg(gap), 4) as mean_gap, round(var_samp(gap), 2) as var_gap, cast(sum(gap) as bigint) as span from g group by user_id")
 def gap_statistics(spark: SparkSession, d: str) -> DataFrame:
-    found = gaps.gap_statistics(gaps.position_gaps(_hits(spark, d).select("user_id", "at").distinct(), "user_id", "at"), "user_id")
+    found = gaps.gap_statistics(gaps.position_gaps(_hits(spark, d).select("user_id", "place").distinct(), "user_id", "place"), "user_id")
     return found.select("user_id", "hits", _r("mean_gap", 4), _r("var_gap", 2), "span")
 
 

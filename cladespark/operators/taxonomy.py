@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lineage import next_letter
 from ..schemas import KINGDOMS
+from ..storage import stored
 from .statistics import clade_statistics
 
 #: Markers kept at least, share of non-zero markers from which a marker of another clade is discarded, and that a strain needs.
@@ -97,9 +98,11 @@ def local_abundance(used: DataFrame, clades: DataFrame, statistic: str = "tavg_g
 def rolled_up(local: DataFrame, clades: DataFrame, min_len: int = MIN_MARKER_LEN, levels: int = LEVELS) -> DataFrame:
     """(sample, clade, depth, abundance, child_sum, unclassified, read_sum) from the leaves up, a level at a time.
 
+    Each level is stored, so that no level is computed again for those above it.
     A clade with children has the greater of its own statistic and its children's sum, or that sum alone if
     its markers have fewer than ``min_len`` bases. What it has beyond its children is unclassified.
     """
+    clades, local = stored(clades, "clades"), stored(local, "local")
     about = clades.select("clade", "parent", "depth", "n_children")
     done: list[DataFrame] = []
     below: DataFrame | None = None
@@ -114,7 +117,7 @@ def rolled_up(local: DataFrame, clades: DataFrame, min_len: int = MIN_MARKER_LEN
             frame = own.select("sample", "clade", "local", "len_sum", "read_sum").join(only.select("sample", "clade", "child_sum"), ["sample", "clade"], "full_outer").join(level, "clade")
         frame = frame.withColumns({"local": F.coalesce("local", F.lit(0.0)), "len_sum": F.coalesce("len_sum", F.lit(0.0)), "read_sum": F.coalesce("read_sum", F.lit(0.0)), "child_sum": F.coalesce("child_sum", F.lit(0.0))})
         abundance = F.when(F.col("n_children") == 0, F.col("local")).when(F.col("len_sum") < min_len, F.col("child_sum")).otherwise(F.greatest("local", "child_sum"))
-        frame = frame.withColumn("abundance", abundance)
+        frame = stored(frame.withColumn("abundance", abundance), "level")
         below = frame
         excess = F.when((F.col("n_children") > 0) & (F.col("abundance") > F.col("child_sum")), F.col("abundance") - F.col("child_sum")).otherwise(F.lit(0.0))
         done.append(frame.select("sample", "clade", "depth", "n_children", "abundance", "child_sum", excess.alias("unclassified"), "read_sum"))
