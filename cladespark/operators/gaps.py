@@ -35,10 +35,17 @@ def mean_circular_distance(hits: DataFrame, group: str, position: str, length: s
     """
     by = hits.select(group, F.pmod(F.col(position).cast("double"), F.col(length).cast("double")).alias("x"), F.col(length).cast("double").alias("size"))
     twice = by.withColumn("copy", F.lit(0)).unionByName(by.select(group, (F.col("x") + F.col("size")).alias("x"), "size", F.lit(1).alias("copy")))
-    # distances to hits up to half a circle behind: each pair is seen once, exact halves twice at most
-    half = twice.withColumn("scaled", F.col("x") / F.col("size"))
-    ranged = half.selectExpr(group, "copy", "x", "size", f"count(*) over (partition by {group} order by scaled range between 0.5 preceding and current row) - 1 as n", f"sum(x) over (partition by {group} order by scaled range between 0.5 preceding and current row) - x as s")
-    return ranged.where("copy = 1").groupBy(group).agg(F.count("*").alias("hits"), (F.sum(F.col("n") * F.col("x") - F.col("s")) / F.nullif(F.sum("n"), F.lit(0))).alias("mean_distance"))
+    # ways to hits up to half a circle behind; pairs exactly half a circle apart are seen from both ends
+    window = f"over (partition by {group} order by x / size range between"
+    ranged = twice.selectExpr(
+        group, "copy", "x", "size",
+        f"count(*) {window} 0.5 preceding and current row) as n",
+        f"sum(x) {window} 0.5 preceding and current row) as s",
+        f"count(*) {window} 0.5 preceding and 0.5 preceding) as opposite",
+    ).where("copy = 1")
+    sums = ranged.groupBy(group).agg(F.count("*").alias("hits"), F.sum(F.col("n") * F.col("x") - F.col("s")).alias("way"), F.sum(F.col("opposite") * F.col("size") / 4).alias("twice"))
+    # hits at one place see each other's way as 0, or as its negative, which add up to 0
+    return sums.select(group, "hits", ((F.col("way") - F.col("twice")) / F.nullif(F.col("hits") * (F.col("hits") - 1) / 2, F.lit(0.0))).alias("mean_distance"))
 
 
 def gc_normalised(hits: DataFrame, genomes: DataFrame, least: int = LEAST_HITS) -> DataFrame:
