@@ -10,17 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladespark.cluster import ship_package
 from cladespark.llm import ngram_join, packing, secret_scan, toxicity
 from cladespark.llm.storage import stored
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows predicted to be toxic go; the model is learned from ``labels`` and the rows of ``docs``."""
+    ship_package(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that 5-word shingles of similarity 0.8 or more connect, the least doc_id stays."""
+    ship_package(spark)
     return ngram_join.without_near_copies(docs, width=5, percent=80)
 
 
@@ -35,6 +38,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of at most 2048 ids and their places in sequences."""
+    ship_package(spark)
     packed = packing.pack_documents(docs, capacity=2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
