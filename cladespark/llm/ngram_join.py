@@ -6,19 +6,22 @@ Two documents link when ``100 * intersection >= percent * union`` for their sets
    input), which orders n-grams rare first.  The order only has to be the same everywhere, so
    sharing counters costs no links; an n-gram in a given share of all documents stands out in the
    same way at any size.
-2. Equal sets are one class, by a digest of 128 bits; its least doc_id stands for it.
-3. Linked sets share an n-gram of their prefixes (the ``n - ceil(t n) + 1`` rarest).  Documents that share
-   one are compared with the bucket's first (the smallest set); pairs must pass the length
-   filter, the positional filter and a suffix filter (an upper bound of the overlap from the counts of
-   n-grams by hash range), and are verified once, on the whole texts.
-4. Verified links are joined into components.  Buckets that still hold more than one component go on: the
+2. Equal sets are one class, by their size and a digest of 64 bits; its least doc_id stands for it.
+3. Linked sets share an n-gram of their prefixes (the ``n - ceil(t n) + 1`` rarest).  Most n-grams of
+   prefixes are in one set only; they are left out by sorting n-grams in blocks of a bounded size.
+   N-grams that the counters show to be frequent skip the blocks, so no block gathers a hot one.
+4. Documents that share an n-gram are compared with the bucket's first (the smallest set); pairs must pass
+   the length filter, the positional filter and a suffix filter (an upper bound of the overlap from the
+   counts of n-grams by hash range), and are verified once, on the whole texts.
+5. Verified links are joined into components.  Buckets that still hold more than one component go on: the
    smallest set of one of them, chosen by a hash, is compared with all members of the others;
    after ``LEADERS`` turns the members of different components are joined in full under the same
-   filters.  Pairs inside a component need no comparing, so a group of near
-   copies costs its size and not its square, and no link between components is lost.
+   filters.  Pairs inside a component need no comparing, so a group of near copies costs its size
+   and not its square, and no link between components is lost.
 
-Memory: documents are handled in slices; texts are shuffled only for documents in candidate pairs.
-Skew: buckets and classes are reduced with salts; joins by document are left to adaptive splitting.
+Memory: documents are handled in slices; texts are shuffled only for documents in candidate pairs (a bit
+table of a fixed size lets most others go before the shuffle, a join lets go the rest).
+Skew: buckets are reduced with salts; joins by document are left to adaptive splitting.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; fewer words
 than n form one n-gram; rows that share a doc_id are one node (and one result row each);
@@ -42,13 +45,18 @@ from .storage import stored
 from .textbatch import shingle_sets, slices
 
 #: Counters of the frequency table, and the rows it is dealt into for summing.
-COUNTERS, PARTS = 1 << 20, 64
+COUNTERS, PARTS = 1 << 19, 32
+#: N-grams of prefixes in a block, on average; n-grams with so many times the mean count skip the blocks.
+BLOCK_ROWS, HOT = 1_000_000, 8
+#: Bits of the table of documents in candidate pairs.
+BITS = 1 << 24
 #: Hash ranges of the suffix filter.
 RANGES = 32
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
 LEADERS = 3
 
-PROFILE = "doc_id long, n long, digest binary, prefix array<long>, ranges array<int>"
+PROFILE = "doc_id long, n long, class long, prefix array<long>, ranges array<int>"
+POSTING = "h long, class long, n long, pos int"
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -87,7 +95,7 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n, digest, prefix, ranges): what the filters need of each document."""
+    """(doc_id, n, class, prefix, ranges): what the filters need of each document; class is a digest of its set."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
     shift = np.uint64(64 - (RANGES - 1).bit_length())
 
@@ -101,17 +109,74 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                     keep = size - -(-percent * size // 100) + 1 if size else 0
                     rare = np.lexsort((own, counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:keep]
                     n.append(size)
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    digests.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True))
                     prefixes.append(own[rare].view(np.int64))
                     ranges.append(np.bincount((own >> shift).astype(np.int64), minlength=RANGES).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))],
-                    names=["doc_id", "n", "digest", "prefix", "ranges"],
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))],
+                    names=["doc_id", "n", "class", "prefix", "ranges"],
                 )
 
     return texts.mapInArrow(run, PROFILE)
 
 
+def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(h, class, n, pos): the n-grams of prefixes that more than one class has, once for each class.
+
+    N-grams go to blocks by their hash; a block's rows are cut where n-grams change and single ones go.
+    Copies in one batch are put in once.
+    """
+    total = own.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    blocks = max(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_ROWS))
+    hot = counts > HOT * max(1.0, float(counts.mean())) + 1000
+    shared = own.sparkSession.sparkContext.broadcast(np.packbits(hot))
+    packed = "block int, h binary, class binary, n binary, pos binary"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            _, first = np.unique(batch.column("class").to_numpy(), return_index=True)
+            batch = batch.take(pa.array(np.sort(first)))
+            lists = batch.column("prefix")
+            size = np.diff(lists.offsets.to_numpy())
+            h = lists.flatten().to_numpy().view(np.uint64)
+            begin = np.cumsum(size) - size
+            columns = [h, np.repeat(batch.column("class").to_numpy(), size), np.repeat(batch.column("n").to_numpy(), size), (np.arange(len(h)) - np.repeat(begin, size)).astype(np.int32)]
+            # frequent n-grams keep single rows under the block -1
+            block = ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+            block[frequent[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]] = -1
+            order = np.argsort(block, kind="stable")
+            block = block[order]
+            cuts = np.flatnonzero(np.diff(block, prepend=-2))
+            ends = np.append(cuts[1:], len(block))
+            parts = [[c[order[x:y]].tobytes() for x, y in zip(cuts, ends, strict=True)] for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(block[cuts].astype(np.int32)), *[pa.array(x, pa.binary()) for x in parts]], names=["block", "h", "class", "n", "pos"])
+
+    def unpack(frame: pd.DataFrame) -> list[np.ndarray]:
+        return [np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("h", np.int64), ("class", np.int64), ("n", np.int64), ("pos", np.int32))]
+
+    def repeated(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        h, classes, n, pos = unpack(frame)
+        order = np.lexsort((n, classes, h))
+        h, classes, n, pos = (c[order] for c in (h, classes, n, pos))
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (classes[1:] != classes[:-1]) | (n[1:] != n[:-1])
+        h, classes, n, pos = (c[fresh] for c in (h, classes, n, pos))
+        same = h[1:] == h[:-1]
+        keep = np.append(same, False) | np.append(False, same)
+        return pd.DataFrame({"h": h[keep], "class": classes[keep], "n": n[keep], "pos": pos[keep]})
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = unpack(batch.to_pandas())
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "class", "n", "pos"])
+
+    dealt = own.where("n > 0").select("class", "n", "prefix").mapInArrow(deal, packed)
+    by_block = dealt.where("block >= 0").groupBy("block").applyInPandas(repeated, POSTING)
+    frequent = dealt.where("block < 0").mapInArrow(plain, POSTING).dropDuplicates(["h", "class", "n"])
+    return by_block.unionByName(frequent)
+
+
 def _length_filter(small: str, large: str, percent: int) -> Column:
     return F.expr(f"100 * {small} >= {percent} * {large} and 100 * {large} >= {percent} * {small}")
 
@@ -133,10 +198,33 @@ def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame
     return both.where(F.expr(f"{bound} >= {_needed(percent)}")).select("a", "b")
 
 
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose doc_id is in ``ids``.
+
+    A bit table of a fixed size, filled from all ids, lets other rows go before anything is shuffled.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    words = ids.select(place("doc_id").alias("p")).groupBy(F.expr("cast(p div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")).toArrow()
+    table = np.zeros(BITS // 64, np.int64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            p = batch.column("p").to_numpy()
+            hit = (table[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+            if hit.any():
+                yield batch.select(["doc_id", "text"]).filter(pa.array(hit))
+
+    likely = texts.where("doc_id is not null").select("doc_id", "text", place("doc_id").alias("p")).mapInArrow(run, "doc_id long, text string")
+    return likely.join(ids, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts' sets link; each pair is given once and verified once."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    near = stored(texts.join(ids, "doc_id", "left_semi"), "near-texts")
+    near = stored(_texts_of(ids, texts), "near-texts")
     side = lambda name: near.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text")
 
@@ -203,11 +291,13 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     component_id is the least doc_id that links lead to, the document's own included.
     """
     texts = _texts(docs, id_column, text_column)
-    own = stored(profiles(texts, width, percent, frequencies(texts, width)), "profiles")
-    least = {"rep": (F.min("doc_id"), "min")}
-    members = stored(with_group(own.where("n > 0"), ["digest"], "doc_id", least), "members")
-    reps = members.where("doc_id = rep").dropDuplicates(["doc_id", "digest"])
-    postings = reps.select("doc_id", "n", F.posexplode("prefix").alias("pos", "h"))
+    counts = frequencies(texts, width)
+    own = stored(profiles(texts, width, percent, counts), "profiles")
+    classes = stored(own.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    shared = stored(shared_postings(own, counts), "postings")
+    postings = stored(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "pos"), "postings")
+    some = postings.select("doc_id").distinct()
+    reps = stored(own.select("doc_id", "n", "ranges").join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "ranges")
 
     tried = links = labels = None
     for turn in range(LEADERS + 1):
@@ -229,7 +319,8 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
         links = links.unionByName(found) if turn else found
         labels = stored(components(links), "labels")
 
-    named = members.select("doc_id", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    members = own.where("n > 0").select("doc_id", "n", "class").join(classes, ["class", "n"])
+    named = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     full = named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     return full.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
