@@ -53,7 +53,7 @@ BITS = 1 << 24
 #: Hash ranges of the suffix filter.
 RANGES = 32
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
-LEADERS = 3
+LEADERS = 2
 
 PROFILE = "doc_id long, n long, class long, prefix array<long>, ranges array<int>"
 POSTING = "h long, class long, n long, pos int"
@@ -187,8 +187,20 @@ def _needed(percent: int) -> str:
 
 
 def _position_filter(percent: int) -> Column:
-    """What comes before the shared n-gram in either prefix, itself, and what comes after it bound the overlap."""
-    return F.expr(f"least(a_pos, b_pos) + 1 + least(a_n - a_pos, b_n - b_pos) - 1 >= {_needed(percent)}")
+    """Bounds the overlap by what both sets can share before this n-gram, and by the shorter rest from it on.
+
+    What they share before it is in both prefixes, so it is in more than one and counted in ``before`` of either.
+    """
+    return F.expr(f"least(a_before, b_before) + least(a_n - a_pos, b_n - b_pos) >= {_needed(percent)}")
+
+
+def _ranked(postings: DataFrame, percent: int) -> DataFrame:
+    """Adds before: how many n-grams of the prefix stand before this one and are in another prefix too.
+
+    Postings whose set has more n-grams before them that are in no other prefix than a link allows go at once.
+    """
+    ranked = postings.withColumn("before", F.expr("cast(row_number() over (partition by doc_id order by pos) - 1 as int)"))
+    return ranked.where(F.expr(f"100 * (before + n - pos) >= {percent} * n"))
 
 
 def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -251,12 +263,19 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return stored(both.mapInArrow(run, "a long, b long"), "links")
 
 
+_PLACE = ["n", "doc_id", "pos", "before"]
+
+
+def _pairs_with(joined: DataFrame, leader: str, percent: int) -> DataFrame:
+    """Rows against the leader they were joined to, under the length and positional filters."""
+    sides = [F.col(f"{leader}.{c}").alias("a" if c == "doc_id" else f"a_{c}") for c in _PLACE] + [F.col(c).alias("b" if c == "doc_id" else f"b_{c}") for c in _PLACE]
+    return joined.select(*sides).where("a != b").where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
+
+
 def _by_leader(postings: DataFrame, percent: int) -> DataFrame:
-    """Each bucket's members against its smallest set, under the length and positional filters."""
-    first = {"first": (F.min(F.struct("n", "doc_id", "pos")), "min"), "size": (F.count("*"), "sum")}
-    joined = with_group(postings, ["h"], "doc_id", first, "size > 1")
-    pairs = joined.select(F.col("first.doc_id").alias("a"), F.col("first.n").alias("a_n"), F.col("first.pos").alias("a_pos"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos"))
-    return pairs.where("a != b").where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
+    """Each bucket's members against its smallest set."""
+    first = {"first": (F.min(F.struct(*_PLACE)), "min"), "size": (F.count("*"), "sum")}
+    return _pairs_with(with_group(postings, ["h"], "doc_id", first, "size > 1"), "first", percent)
 
 
 def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
@@ -268,15 +287,14 @@ def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _by_next_leader(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
     """Members against the smallest set of one of the bucket's components, another in each turn, where the components differ."""
-    order = F.struct(F.xxhash64("component", F.lit(turn)).alias("turn"), "component", "n", "doc_id", "pos")
+    order = F.struct(F.xxhash64("component", F.lit(turn)).alias("turn"), "component", *_PLACE)
     joined = with_group(mixed, ["h"], "doc_id", {"leader": (F.min(order), "min")}).where("component != leader.component")
-    pairs = joined.select(F.col("leader.doc_id").alias("a"), F.col("leader.n").alias("a_n"), F.col("leader.pos").alias("a_pos"), F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos"))
-    return pairs.where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
+    return _pairs_with(joined, "leader", percent)
 
 
 def _across(mixed: DataFrame, percent: int) -> DataFrame:
     """All pairs of members of different components in what buckets are left."""
-    side = lambda name: mixed.select("h", F.col("doc_id").alias(name), F.col("n").alias(f"{name}_n"), F.col("pos").alias(f"{name}_pos"), F.col("component").alias(f"{name}_c"))
+    side = lambda name: mixed.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in _PLACE])
     pairs = side("a").join(side("b"), "h").where("a < b and a_c != b_c")
     return pairs.where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
 
@@ -295,7 +313,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     own = stored(profiles(texts, width, percent, counts), "profiles")
     classes = stored(own.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
     shared = stored(shared_postings(own, counts), "postings")
-    postings = stored(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "pos"), "postings")
+    postings = stored(_ranked(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "pos"), percent), "postings")
     some = postings.select("doc_id").distinct()
     reps = stored(own.select("doc_id", "n", "ranges").join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "ranges")
 
