@@ -165,33 +165,36 @@ def _weights(table: dict[str, np.ndarray], folds: tuple[int, ...], n_toxic: floa
 
 
 def _feature_counts(training: DataFrame) -> dict[str, np.ndarray]:
-    """Documents with each feature, by class and half; bounded by the training rows."""
-    schema = "level int, hash long, parent array<long>, toxic0 int, clean0 int, toxic1 int, clean1 int"
+    """Documents with each feature, by class and half; bounded by the training rows. Counted by slice before the shuffle."""
+    above = [f"above{k}" for k in range(len(PREFIXES))]
+    cells = ["toxic0", "clean0", "toxic1", "clean1"]
+    schema = "level int, hash long, " + ", ".join(f"{c} long" for c in above) + ", " + ", ".join(f"{c} int" for c in cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 levels, _, _, at = features(part.column("text"))
-                toxic = part.column("toxic").to_numpy(zero_copy_only=False)
-                half = part.column("half").to_numpy(zero_copy_only=False)
+                # 0 for toxic and 1 for clean rows of the first half, 2 and 3 for those of the second
+                cell = 2 * part.column("half").to_numpy(zero_copy_only=False) + 1 - part.column("toxic").to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(part.num_rows), np.diff(at))
                 for level, hashes in enumerate(levels):
-                    for i in range(part.num_rows):
-                        own, where = np.unique(hashes[at[i] : at[i + 1]], return_index=True)
-                        where = where[own != 0] + at[i]
-                        own = own[own != 0]
-                        flags = [np.full(len(own), int(toxic[i] == t and half[i] == h), np.int32) for h in (0, 1) for t in (1, 0)]
-                        parents = np.stack([levels[k][where] for k in range(len(PREFIXES))], axis=1).view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(own), level, np.int32)), pa.array(own.view(np.int64)), pa.array(list(parents), pa.list_(pa.int64())), *map(pa.array, flags)],
-                            names=["level", "hash", "parent", "toxic0", "clean0", "toxic1", "clean1"],
-                        )
-
-    counts = training.mapInArrow(run, schema).groupBy("level", "hash").agg(F.first("parent").alias("parent"), *[F.sum(c).cast("int").alias(c) for c in ("toxic0", "clean0", "toxic1", "clean1")])
-    kept = counts.where(f"toxic0 + clean0 + toxic1 + clean1 >= {LEAST_DOCUMENTS}").toArrow()
-    out = {c: kept.column(c).to_numpy() for c in ("level", "toxic0", "clean0", "toxic1", "clean1")}
+                    order = np.lexsort((row, hashes))
+                    own, of = hashes[order], row[order]
+                    new = np.append(True, (own[1:] != own[:-1]) | (of[1:] != of[:-1])) & (own != 0) if len(own) else np.zeros(0, bool)
+                    order, own, of = order[new], own[new], of[new]
+                    heads = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
+                    if not len(heads):
+                        continue
+                    counts = [np.add.reduceat(cell[of] == c, heads, dtype=np.int32) for c in range(4)]
+                    parents = [levels[k][order[heads]].view(np.int64) for k in range(len(PREFIXES))]
+                    columns = [np.full(len(heads), level, np.int32), own[heads].view(np.int64), *parents, *counts]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["level", "hash", *above, *cells])
+
+    sums = training.mapInArrow(run, schema).groupBy("level", "hash").agg(*[F.max(c).alias(c) for c in above], *[F.sum(c).alias(c) for c in cells])
+    kept = sums.where(f"{' + '.join(cells)} >= {LEAST_DOCUMENTS}").toArrow()
+    out = {c: kept.column(c).to_numpy() for c in ("level", *cells)}
     out["hash"] = kept.column("hash").to_numpy().view(np.uint64)
-    flat = kept.column("parent").combine_chunks().flatten().to_numpy()
-    out["parent"] = flat.reshape(-1, len(PREFIXES)).view(np.uint64)
+    out["parent"] = np.stack([kept.column(c).to_numpy().view(np.uint64) for c in above], axis=1)
     return out
 
 
