@@ -1,33 +1,5 @@
-"""Tables and files in the folder that the whole cluster shares.
+"""Tables and files in the folder that the whole cluster shares."""
 
-Lineage is cut with written tables, never with executors' own disks: a lost executor loses
-nothing, and a retried task writes the same rows.
-"""
+from ..storage import new_path, shared_folder, stored
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a local one only where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Writes a frame as Parquet in the shared folder and returns the frame that reads it."""
-    spark = frame.sparkSession
-    path = new_path(spark, name)
-    frame.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+__all__ = ["new_path", "shared_folder", "stored"]
