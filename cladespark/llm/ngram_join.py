@@ -7,9 +7,12 @@ Two documents link when ``100 * intersection >= percent * union`` for their sets
    sharing counters costs no links; an n-gram in a given share of all documents stands out in the
    same way at any size.
 2. Equal sets are one class, by their size and a digest of 64 bits; its least doc_id stands for it.
-3. Linked sets share an n-gram of their prefixes (the ``n - ceil(t n) + 1`` rarest).  Most n-grams of
+3. Linked sets share ``l`` n-grams of their prefixes (the ``n - ceil(t n) + l`` rarest).  Most n-grams of
    prefixes are in one set only; they are left out by sorting n-grams in blocks of a bounded size.
    N-grams that the counters show to be frequent skip the blocks, so no block gathers a hot one.
+   Of what is left each set's first ``l - 1`` aren't joined on: the l-th n-gram that two linked sets share
+   comes after them in both.  ``l`` is ``DEEP`` between sets of at least ``LARGE`` n-grams and 1 where one is
+   smaller; sets that may link with either kind take part in both joins.
 4. Documents that share an n-gram are compared with the bucket's first (the smallest set); pairs must pass
    the length filter, the positional filter and a suffix filter (an upper bound of the overlap from the
    counts of n-grams by hash range), and are verified once, on the whole texts.
@@ -42,12 +45,14 @@ from pyspark.sql import functions as F
 from .components import components
 from .skew import with_group
 from .storage import stored
-from .textbatch import shingle_sets, slices
+from .textbatch import mix, release, shingle_sets, slices, small_batches
 
 #: Counters of the frequency table, and the rows it is dealt into for summing.
 COUNTERS, PARTS = 1 << 19, 32
 #: N-grams of prefixes in a block, on average; n-grams with so many times the mean count skip the blocks.
 BLOCK_ROWS, HOT = 1_000_000, 8
+#: N-grams that prefixes of large sets must share, and from which size a set is large.
+DEEP, LARGE = 8, 64
 #: Bits of the table of documents in candidate pairs.
 BITS = 1 << 24
 #: Hash ranges of the suffix filter.
@@ -55,12 +60,12 @@ RANGES = 32
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
 LEADERS = 2
 
-PROFILE = "doc_id long, n long, class long, prefix array<long>, ranges array<int>"
-POSTING = "h long, class long, n long, pos int"
+PROFILE = "doc_id long, n long, class long, deep int, prefix array<long>, ranges array<int>"
+POSTING = "h long, class long, n long, deep int, pos int"
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    return small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
 
 
 def frequencies(texts: DataFrame, width: int) -> np.ndarray:
@@ -77,6 +82,7 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
         if total.any():
             parts = total.reshape(PARTS, size)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
+        release()
 
     def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(size, np.int64)
@@ -95,7 +101,10 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n, class, prefix, ranges): what the filters need of each document; class is a digest of its set."""
+    """(doc_id, n, class, deep, prefix, ranges): what the filters need of each document; class is a digest of its set.
+
+    A document that takes part in both joins has a second row, with deep = 1 and null ranges.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(counts)
     shift = np.uint64(64 - (RANGES - 1).bit_length())
 
@@ -103,25 +112,28 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
         counts = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
-                n, digests, prefixes, ranges = [], [], [], []
-                for own in shingle_sets(part.column("text"), width):
+                rows: list[list] = [[], [], [], [], [], []]
+                for key, own in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), width), strict=True):
                     size = len(own)
-                    keep = size - -(-percent * size // 100) + 1 if size else 0
-                    rare = np.lexsort((own, counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:keep]
-                    n.append(size)
-                    digests.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True))
-                    prefixes.append(own[rare].view(np.int64))
-                    ranges.append(np.bincount((own >> shift).astype(np.int64), minlength=RANGES).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))],
-                    names=["doc_id", "n", "class", "prefix", "ranges"],
-                )
+                    digest = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    order = np.lexsort((own, counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                    spare = size - -(-percent * size // 100)
+                    ranges = np.bincount((own >> shift).astype(np.int64), minlength=RANGES).astype(np.int32)
+                    joins = [(DEEP, ranges)] if size >= LARGE else [(1, ranges)]
+                    if size >= LARGE and percent * size < 100 * LARGE:
+                        joins.append((1, None))
+                    for deep, of in joins:
+                        for column, value in zip(rows, (key, size, digest, deep, own[order[: spare + deep if size else 0]].view(np.int64), of), strict=True):
+                            column.append(value)
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["doc_id", "n", "class", "deep", "prefix", "ranges"])
+        release()
 
     return texts.mapInArrow(run, PROFILE)
 
 
 def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(h, class, n, pos): the n-grams of prefixes that more than one class has, once for each class.
+    """(h, class, n, deep, pos): the n-grams of prefixes that more than one class has, once for each class and join.
 
     N-grams go to blocks by their hash; a block's rows are cut where n-grams change and single ones go.
     Copies in one batch are put in once.
@@ -130,48 +142,51 @@ def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
     blocks = max(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_ROWS))
     hot = counts > HOT * max(1.0, float(counts.mean())) + 1000
     shared = own.sparkSession.sparkContext.broadcast(np.packbits(hot))
-    packed = "block int, h binary, class binary, n binary, pos binary"
+    packed = "block int, h binary, class binary, n binary, deep binary, pos binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            _, first = np.unique(batch.column("class").to_numpy(), return_index=True)
+            _, first = np.unique(batch.column("class").to_numpy() * 2 + (batch.column("deep").to_numpy() > 1), return_index=True)
             batch = batch.take(pa.array(np.sort(first)))
             lists = batch.column("prefix")
             size = np.diff(lists.offsets.to_numpy())
             h = lists.flatten().to_numpy().view(np.uint64)
             begin = np.cumsum(size) - size
-            columns = [h, np.repeat(batch.column("class").to_numpy(), size), np.repeat(batch.column("n").to_numpy(), size), (np.arange(len(h)) - np.repeat(begin, size)).astype(np.int32)]
+            deep = np.repeat(batch.column("deep").to_numpy(), size)
+            plain_h, h = h, np.where(deep > 1, h, mix(h))  # the two joins don't meet
+            columns = [plain_h, np.repeat(batch.column("class").to_numpy(), size), np.repeat(batch.column("n").to_numpy(), size), deep, (np.arange(len(h)) - np.repeat(begin, size)).astype(np.int32)]
             # frequent n-grams keep single rows under the block -1
             block = ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-            block[frequent[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]] = -1
+            block[frequent[(columns[0] & np.uint64(COUNTERS - 1)).astype(np.int64)]] = -1
+            columns[0] = h
             order = np.argsort(block, kind="stable")
             block = block[order]
             cuts = np.flatnonzero(np.diff(block, prepend=-2))
             ends = np.append(cuts[1:], len(block))
             parts = [[c[order[x:y]].tobytes() for x, y in zip(cuts, ends, strict=True)] for c in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(block[cuts].astype(np.int32)), *[pa.array(x, pa.binary()) for x in parts]], names=["block", "h", "class", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(block[cuts].astype(np.int32)), *[pa.array(x, pa.binary()) for x in parts]], names=["block", "h", "class", "n", "deep", "pos"])
 
     def unpack(frame: pd.DataFrame) -> list[np.ndarray]:
-        return [np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("h", np.int64), ("class", np.int64), ("n", np.int64), ("pos", np.int32))]
+        return [np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("h", np.int64), ("class", np.int64), ("n", np.int64), ("deep", np.int32), ("pos", np.int32))]
 
     def repeated(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        h, classes, n, pos = unpack(frame)
-        order = np.lexsort((n, classes, h))
-        h, classes, n, pos = (c[order] for c in (h, classes, n, pos))
+        columns = unpack(frame)
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        h, classes, n = (c[order] for c in columns[:3])
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (classes[1:] != classes[:-1]) | (n[1:] != n[:-1])
-        h, classes, n, pos = (c[fresh] for c in (h, classes, n, pos))
+        order, h = order[fresh], h[fresh]
         same = h[1:] == h[:-1]
-        keep = np.append(same, False) | np.append(False, same)
-        return pd.DataFrame({"h": h[keep], "class": classes[keep], "n": n[keep], "pos": pos[keep]})
+        order = order[np.append(same, False) | np.append(False, same)] if len(h) else order
+        return pd.DataFrame({name: c[order] for name, c in zip(("h", "class", "n", "deep", "pos"), columns, strict=True)})
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = unpack(batch.to_pandas())
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "class", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "class", "n", "deep", "pos"])
 
-    dealt = own.where("n > 0").select("class", "n", "prefix").mapInArrow(deal, packed)
+    dealt = own.where("n > 0").select("class", "n", "deep", "prefix").mapInArrow(deal, packed)
     by_block = dealt.where("block >= 0").groupBy("block").applyInPandas(repeated, POSTING)
     frequent = dealt.where("block < 0").mapInArrow(plain, POSTING).dropDuplicates(["h", "class", "n"])
     return by_block.unionByName(frequent)
@@ -197,10 +212,10 @@ def _position_filter(percent: int) -> Column:
 def _ranked(postings: DataFrame, percent: int) -> DataFrame:
     """Adds before: how many n-grams of the prefix stand before this one and are in another prefix too.
 
-    Postings whose set has more n-grams before them that are in no other prefix than a link allows go at once.
+    A set's first deep - 1 postings go.  So do those whose set has more n-grams before them that are in no other prefix than a link allows go at once.
     """
-    ranked = postings.withColumn("before", F.expr("cast(row_number() over (partition by doc_id order by pos) - 1 as int)"))
-    return ranked.where(F.expr(f"100 * (before + n - pos) >= {percent} * n"))
+    ranked = postings.withColumn("before", F.expr("cast(row_number() over (partition by doc_id, deep order by pos) - 1 as int)"))
+    return ranked.where(F.expr(f"before >= deep - 1 and 100 * (before + n - pos) >= {percent} * n"))
 
 
 def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -259,6 +274,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                     common = len(np.intersect1d(own, other, assume_unique=True))
                     linked[i] = common > 0 and 100 * common >= percent * (len(own) + len(other) - common)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(linked))
+        release()
 
     return stored(both.mapInArrow(run, "a long, b long"), "links")
 
@@ -311,11 +327,12 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     texts = _texts(docs, id_column, text_column)
     counts = frequencies(texts, width)
     own = stored(profiles(texts, width, percent, counts), "profiles")
-    classes = stored(own.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    main = own.where("ranges is not null")
+    classes = stored(main.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
     shared = stored(shared_postings(own, counts), "postings")
-    postings = stored(_ranked(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "pos"), percent), "postings")
+    postings = stored(_ranked(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "deep", "pos"), percent).drop("deep"), "postings")
     some = postings.select("doc_id").distinct()
-    reps = stored(own.select("doc_id", "n", "ranges").join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "ranges")
+    reps = stored(main.select("doc_id", "n", "ranges").join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "ranges")
 
     tried = links = labels = None
     for turn in range(LEADERS + 1):
@@ -337,10 +354,10 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
         links = links.unionByName(found) if turn else found
         labels = stored(components(links), "labels")
 
-    members = own.where("n > 0").select("doc_id", "n", "class").join(classes, ["class", "n"])
+    members = main.where("n > 0").select("doc_id", "n", "class").join(classes, ["class", "n"])
     named = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     full = named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    return full.unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return full.unionByName(main.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

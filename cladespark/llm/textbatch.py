@@ -7,15 +7,21 @@ slice of its own.  Null texts count as empty.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of text handled at once; numpy temporaries are about 20 times this.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+#: Rows that Spark hands to Python at once; texts may be long.
+BATCH_ROWS = 1_000
 
 _RNG = np.random.default_rng(0x5EED)
 _BYTE_VALUE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,6 +149,19 @@ def shingle_sets(array: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """The frame, for a session in which batches of texts for Python are small."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return frame
+
+
+def release() -> None:
+    """Gives freed memory of this worker back, which it would keep for its next task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def single_threaded() -> None:
     """One thread per Python worker: the executor's cores are what Spark has given out."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
