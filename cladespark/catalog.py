@@ -602,3 +602,42 @@ def profile_lines(spark: SparkSession, d: str) -> DataFrame:
 def cami_rows(spark: SparkSession, d: str) -> DataFrame:
     profile = _supplier_profile(spark, d).select("sample", F.col("taxid").cast("string").alias("taxid"), F.lit("species").alias("rank"), F.lit("p").alias("taxpath"), F.lit("n").alias("taxpathsn"), F.col("abundance").alias("percentage"))
     return sinks.cami_rows(profile).select("sample", "line")
+
+
+# -- further operators -----------------------------------------------------------------------------
+
+
+@_query("select sample, qname, any_value(rname) as rname from alignments group by 1, 2 having count(*) = 1", "alignments")
+def single_records(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.singles(bridge.alignments(spark, d)).select("sample", "qname", "rname")
+
+
+@_query(
+    """select read_name, seq1, seq2 from (select cast(l_orderkey as string) as read_name, count(*) filter (where l_linenumber = 1) as n1, count(*) filter (where l_linenumber = 2) as n2,
+    max(case when l_linenumber = 1 then cast(l_partkey as string) end) as seq1, max(case when l_linenumber = 2 then cast(l_partkey as string) end) as seq2
+    from lineitem where l_linenumber <= 2 group by 1) where n1 <= 1 and n2 <= 1"""
+)
+def mate_join(spark: SparkSession, d: str) -> DataFrame:
+    """Mates by name; orphans stay, names with a mate twice go."""
+    reads = bridge.table(spark, d, "lineitem").where("l_linenumber <= 2").selectExpr("0 as sample_id", "'g' as rg", "'s' as sm", "cast(l_orderkey as string) as read_name", "l_linenumber as mate", "cast(l_partkey as string) as seq", "'I' as qual")
+    return pairs.mated_reads(reads).select("read_name", "seq1", "seq2")
+
+
+@_query("select b.species, b.accession, coalesce(cast(s.taxid as string), '-1') as taxid from (select p_brand as species, concat('A', cast(min(p_partkey) as string)) as accession from part group by 1) b left join (select concat('A', cast(p_partkey as string)) as accession, p_size as taxid from part where p_partkey % 2 = 0) s on s.accession = b.accession")
+def species_first_accession(spark: SparkSession, d: str) -> DataFrame:
+    part = bridge.table(spark, d, "part")
+    first = part.groupBy(F.col("p_brand").alias("species")).agg(F.concat(F.lit("A"), F.min("p_partkey").cast("string")).alias("accession"))
+    taxids = part.where("p_partkey % 2 = 0").selectExpr("concat('A', cast(p_partkey as string)) as accession", "p_size as taxid")
+    return prep.species_taxids(first.select("species"), first, taxids).select("species", "accession", "taxid")
+
+
+@_query("select c_mktsegment as name, 'species' as rank, count(distinct c_nationkey) as n from customer group by 1 having count(distinct c_nationkey) > 1")
+def ambiguous_names(spark: SparkSession, d: str) -> DataFrame:
+    names = bridge.table(spark, d, "customer").selectExpr("c_mktsegment as name", "'species' as rank", "c_nationkey as taxid")
+    return ncbi.ambiguous_names(names.select("name", "rank").distinct(), names)
+
+
+@_query("select sample, path as cluster, round(abundance, 6) as abundance from rows where abundance > 0 and depth = 3 union all select sample, concat(path, '|', child_prefix, substr(clade, 4), '_unclassified'), round(unclassified, 6) from rows where unclassified > 0", extra=_EMITTED)
+def profile_tips(spark: SparkSession, d: str) -> DataFrame:
+    clades, rolled = _rolled(spark, d, 2000)
+    return reports.biom_tips(taxonomy.emitted(rolled, clades)).select("sample", "cluster", _r("abundance"))
