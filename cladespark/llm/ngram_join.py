@@ -56,11 +56,11 @@ DEEP, LARGE = 8, 64
 #: Bits of the table of documents in candidate pairs.
 BITS = 1 << 24
 #: Hash ranges of the suffix filter.
-RANGES = 32
+RANGES = 256
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
 LEADERS = 2
 
-PROFILE = "doc_id long, n long, class long, deep int, prefix array<long>, ranges array<int>"
+PROFILE = "doc_id long, n long, class long, main boolean, deep int, prefix array<long>, ranges array<tinyint>"
 POSTING = "h long, class long, n long, deep int, pos int"
 
 
@@ -103,7 +103,8 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
 def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
     """(doc_id, n, class, deep, prefix, ranges): what the filters need of each document; class is a digest of its set.
 
-    A document that takes part in both joins has a second row, with deep = 1 and null ranges.
+    A document that takes part in both joins has a second row, with deep = 1, which isn't its main one.
+    Ranges are null where one has more than 127 n-grams; the suffix filter then lets pairs pass.
     """
     shared = texts.sparkSession.sparkContext.broadcast(counts)
     shift = np.uint64(64 - (RANGES - 1).bit_length())
@@ -112,21 +113,22 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
         counts = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
-                rows: list[list] = [[], [], [], [], [], []]
+                rows: list[list] = [[], [], [], [], [], [], []]
                 for key, own in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), width), strict=True):
                     size = len(own)
                     digest = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
                     order = np.lexsort((own, counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))
                     spare = size - -(-percent * size // 100)
-                    ranges = np.bincount((own >> shift).astype(np.int64), minlength=RANGES).astype(np.int32)
-                    joins = [(DEEP, ranges)] if size >= LARGE else [(1, ranges)]
+                    ranges = np.bincount((own >> shift).astype(np.int64), minlength=RANGES)
+                    ranges = ranges.astype(np.int8) if ranges.max() < 128 else None
+                    joins = [(True, DEEP if size >= LARGE else 1, ranges)]
                     if size >= LARGE and percent * size < 100 * LARGE:
-                        joins.append((1, None))
-                    for deep, of in joins:
-                        for column, value in zip(rows, (key, size, digest, deep, own[order[: spare + deep if size else 0]].view(np.int64), of), strict=True):
+                        joins.append((False, 1, None))
+                    for main, deep, of in joins:
+                        for column, value in zip(rows, (key, size, digest, main, deep, own[order[: spare + deep if size else 0]].view(np.int64), of), strict=True):
                             column.append(value)
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["doc_id", "n", "class", "deep", "prefix", "ranges"])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int8())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["doc_id", "n", "class", "main", "deep", "prefix", "ranges"])
         release()
 
     return texts.mapInArrow(run, PROFILE)
@@ -218,11 +220,14 @@ def _ranked(postings: DataFrame, percent: int) -> DataFrame:
     return ranked.where(F.expr(f"before >= deep - 1 and 100 * (before + n - pos) >= {percent} * n"))
 
 
+def _ranges_fit(percent: int) -> Column:
+    """What two sets share in each hash range is at most the lesser count; the sum bounds the overlap."""
+    return F.expr(f"coalesce(aggregate(zip_with(a_ranges, b_ranges, (x, y) -> least(x, y)), 0L, (s, x) -> s + x) >= {_needed(percent)}, true)")
+
+
 def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     side = lambda name: reps.select(F.col("doc_id").alias(name), F.col("n").alias(f"{name}_n"), F.col("ranges").alias(f"{name}_ranges"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    bound = "aggregate(zip_with(a_ranges, b_ranges, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
-    return both.where(F.expr(f"{bound} >= {_needed(percent)}")).select("a", "b")
+    return pairs.join(side("b"), "b").join(side("a"), "a").where(_ranges_fit(percent)).select("a", "b")
 
 
 def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
@@ -308,11 +313,12 @@ def _by_next_leader(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
     return _pairs_with(joined, "leader", percent)
 
 
-def _across(mixed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of different components in what buckets are left."""
-    side = lambda name: mixed.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in _PLACE])
+def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different components in what buckets are left, under all filters as they are joined."""
+    wide = mixed.join(reps.select("doc_id", "ranges"), "doc_id")
+    side = lambda name: wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges"]])
     pairs = side("a").join(side("b"), "h").where("a < b and a_c != b_c")
-    return pairs.where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
+    return pairs.where(_length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent)).select("a", "b").distinct()
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -327,7 +333,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     texts = _texts(docs, id_column, text_column)
     counts = frequencies(texts, width)
     own = stored(profiles(texts, width, percent, counts), "profiles")
-    main = own.where("ranges is not null")
+    main = own.where("main")
     classes = stored(main.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
     shared = stored(shared_postings(own, counts), "postings")
     postings = stored(_ranked(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "deep", "pos"), percent).drop("deep"), "postings")
@@ -342,7 +348,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
             mixed = stored(_mixed(postings, labels), "mixed")
             if not mixed.take(1):
                 break
-            candidates = _by_next_leader(mixed, turn, percent) if turn < LEADERS else _across(mixed, percent)
+            candidates = _by_next_leader(mixed, turn, percent) if turn < LEADERS else _across(mixed, reps, percent)
         pairs = _ordered(_suffix_filter(candidates, reps, percent))
         if turn:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
