@@ -59,6 +59,8 @@ BITS = 1 << 24
 RANGES = 256
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
 LEADERS = 2
+#: N-grams of a set by which a pair that is met several times is told.
+FIRST = 32
 
 PROFILE = "doc_id long, n long, class long, main boolean, deep int, prefix array<long>, ranges array<tinyint>"
 POSTING = "h long, class long, n long, deep int, pos int"
@@ -314,11 +316,18 @@ def _by_next_leader(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of different components in what buckets are left, under all filters as they are joined."""
-    wide = mixed.join(reps.select("doc_id", "ranges"), "doc_id")
-    side = lambda name: wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges"]])
+    """Pairs of members of different components in what buckets are left, under all filters as they are joined.
+
+    A pair comes once, from the first n-gram that both have among their first ``FIRST`` here; only a pair that shares
+    none of these comes from each that it shares.
+    """
+    first = mixed.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "h"))), 1, FIRST).alias("_first"))
+    about = reps.select("doc_id", "ranges").join(first.select("doc_id", F.col("_first.h").alias("hs")), "doc_id")
+    wide = mixed.join(about, "doc_id")
+    side = lambda name: wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges", "hs"]])
     pairs = side("a").join(side("b"), "h").where("a < b and a_c != b_c")
-    return pairs.where(_length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent)).select("a", "b").distinct()
+    once = F.expr("coalesce(try_element_at(array_intersect(a_hs, b_hs), 1) = h, true)")
+    return pairs.where(_length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent) & once).select("a", "b").distinct()
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
