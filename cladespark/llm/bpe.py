@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import slices, strings
+from .textbatch import slices, small_batches, strings
 from .vocab import PLAIN_BYTE_LEVEL, PLAIN_WORD, byte_characters, definition, is_plain, sections, special_ids, tokenizer, vocabulary_path
 
 #: Distinct pieces whose ids a worker keeps; beyond it the store starts anew.
@@ -219,7 +219,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_column: str =
             arrays = [pa.array(array("I", blob).tolist(), pa.int32()) for blob in blobs]
             yield pa.RecordBatch.from_arrays([ids, pa.array([a.to_pylist() for a in arrays], pa.list_(pa.int32())), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def digest_documents(docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -237,7 +237,7 @@ def digest_documents(docs: DataFrame, path: str | None = None, id_column: str =
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, SCHEMA)
+    return small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, SCHEMA)
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[tuple[pa.Array, list[bytes], list[str]]]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import stored
-from .textbatch import slices
+from .textbatch import slices, small_batches
 
 #: Samples in a line of the image; with BLOCK / WIDTH lines for each block of payload.
 WIDTH = 24
@@ -88,7 +88,7 @@ def store_media(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 digests = [hashlib.sha256(p).hexdigest() for p in payloads]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digests, pa.string()), pa.array([len(p) for p in payloads], pa.int64()), pa.array([to_image(p) for p in payloads], pa.binary())], names=["doc_id", "digest", "n_bytes", "media"])
 
-    return stored(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, MEDIA), "media")
+    return stored(small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, MEDIA), "media")
 
 
 def read_media(media: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import stored
-from .textbatch import slices, strings
+from .textbatch import release, slices, small_batches, strings
 from .vocab import BYTE_LEVEL_PATTERN, byte_characters, definition, is_plain, special_ids, tokenizer, vocabulary_path
 
 #: Pieces dealt to a group on average; a group is a few numbers per piece.
@@ -54,7 +54,8 @@ def encode(path: str, texts: list[str]) -> list[list[int]]:
     """Ids as the tokenizers library gives them, special strings included, without added tokens."""
     plain = [is_plain(t) for t in texts]
     fast = _fast(path)
-    rest = iter(tokenizer(path).encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+    others = [t for t, p in zip(texts, plain, strict=True) if not p]
+    rest = iter(tokenizer(path).encode_batch(others, add_special_tokens=False) if others else ())
     return [(fast.encode(t, allowed_special="all") if "<|" in t else fast.encode_ordinary(t)) if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
 
 
@@ -80,8 +81,9 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: s
                             column.append(value)
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds, strict=True)], names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
+        release()
 
-    own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("copy"), F.col(text_column).alias("text"))
+    own = small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("copy"), F.col(text_column).alias("text"))
     return own.mapInArrow(run, PIECES)
 
 

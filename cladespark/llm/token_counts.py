@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbatch import slices, strings
+from .textbatch import slices, small_batches, strings
 from .vocab import PLAIN_BYTE_LEVEL, byte_characters, definition, is_plain, sections, special_ids, tokenizer, vocabulary_path
 
 #: Distinct pieces whose counts a worker keeps; beyond it the store starts anew.
@@ -232,4 +232,4 @@ def count_tokens(docs: DataFrame, limit: int = 512, path: str | None = None, id_
                 over = [n > limit for n in n_tokens]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(over, pa.bool_()), pa.array(fits, pa.int64())], names=["doc_id", "n_bytes", "n_tokens", "over_limit", "prefix_bytes_at_limit"])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, SCHEMA)
+    return small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(run, SCHEMA)

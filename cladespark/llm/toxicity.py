@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import stored
-from .textbatch import flat_bytes, mix, slices, span_hashes, words
+from .textbatch import flat_bytes, mix, release, slices, small_batches, span_hashes, words
 
 #: Labelled rows that a model is learned from, at most.
 MAX_TRAINING = 20_000
@@ -189,6 +189,7 @@ def _feature_counts(training: DataFrame) -> dict[str, np.ndarray]:
                     parents = [levels[k][order[heads]].view(np.int64) for k in range(len(PREFIXES))]
                     columns = [np.full(len(heads), level, np.int32), own[heads].view(np.int64), *parents, *counts]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["level", "hash", *above, *cells])
+        release()
 
     sums = training.mapInArrow(run, schema).groupBy("level", "hash").agg(*[F.max(c).alias(c) for c in above], *[F.sum(c).alias(c) for c in cells])
     kept = sums.where(f"{' + '.join(cells)} >= {LEAST_DOCUMENTS}").toArrow()
@@ -209,6 +210,7 @@ def _segments_of_training(training: DataFrame, halves: tuple[Weights, Weights])
                 half = part.column("half").to_numpy(zero_copy_only=False)
                 found = [[s for _, _, s in maximal_segments(scores[1 - half[i]][at[i] : at[i + 1]])] for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(np.diff(at).astype(np.int64)), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
+        release()
 
     rows = training.mapInArrow(run, "toxic int, n long, scores array<double>").toArrow()
     return list(zip(*(rows.column(c).to_pylist() for c in ("toxic", "n", "scores")), strict=True))
@@ -248,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     key = F.col(id_column).cast("long")
     chosen = labels.where(F.col(label_column).isin(0, 1)).where(~held_out(key)).groupBy(key.alias("_id")).agg(F.max(label_column).cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_training)
-    own = docs.select(key.alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id")
+    own = small_batches(docs).select(key.alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id")
     # repeated rows of a document are one training row
     own = own.groupBy("_id", "toxic").agg(F.min("text").alias("text"))
     training = stored(own.select("toxic", F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int").alias("half"), "text"), "toxic-training")
@@ -293,9 +295,10 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
                     passages.append([{"begin": int(begins[a + x]), "end": int(ends[a + y - 1]), "score": float(own.rate * s - base)} for x, y, s in segments if own.rate * s > base])
                 kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(passages, kind)], names=["doc_id", "held_out", "score", "predicted", "passages"])
+        release()
 
     key = F.col(id_column).cast("long")
-    return docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_column).alias("text")).mapInArrow(run, SCORED)
+    return small_batches(docs).select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_column).alias("text")).mapInArrow(run, SCORED)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -314,5 +317,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     best, total = own.document(maximal_segments(values[at[i] : at[i + 1]]), at[i + 1] - at[i])
                     clean.append(own.score(min(best, 200.0), min(total, 200.0)) < 0.5)
                 yield part.filter(pa.array(clean, pa.bool_()))
+        release()
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
