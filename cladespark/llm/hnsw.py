@@ -4,8 +4,8 @@ Vectors are dealt to shards of at most ``SHARD_ROWS`` by a hash.  Each shard get
 a layer is built from above, its nodes inserted in growing batches, and every node keeps its nearest,
 mutually diverse and some far neighbours.  Every vector then queries every shard, in slices of a
 bounded number of queries.  In each shard and slice a sample of the queries is audited against
-an exact scan: while the audited recall is under ``RECALL``, the beam is widened and the slice searched
-again, up to the whole shard.  A query whose whole beam is linked may have more links than the
+an exact scan for the nearest other vectors, whatever their cosine: while the mean of the queries' own
+recalls is under ``RECALL``, the beam is widened, up to the whole shard.  A query whose whole beam is linked may have more links than the
 beam holds, so such queries scan the shard exactly, in blocks, and give their exact count and a
 spanning set of links instead of all pairs.  All cosines that count are verified in double precision.
 
@@ -37,8 +37,8 @@ SHARD_ROWS, SLICE_ROWS, LEAST_SHARDS = 50_000, 16_384, 6
 NEIGHBOURS, BUILD_BEAM, BEAM = 24, 40, 32
 #: Nodes of a layer for each of the next one up.
 LAYER_RATIO = 24
-#: Audited queries in each slice and shard, and the recall that they must show.
-AUDITS, RECALL = 64, 0.97
+#: Audited queries in each slice and shard, the nearest others of each, the recall they must show, and neighbours audited at least.
+AUDITS, AUDIT_NEAREST, RECALL, LEAST_AUDITED = 64, 10, 0.97, 100
 #: Nodes expanded at once in a beam.
 EXPAND = 3
 
@@ -207,19 +207,31 @@ def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.einsum("ad,ad->a", x, y) / np.sqrt(np.einsum("ad,ad->a", x, x) * np.einsum("ad,ad->a", y, y))
 
 
-def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float) -> pd.DataFrame:
-    """Rows (a, b, n): links with n = 0, and for each query with links in this shard their number with b null."""
-    n, margin = len(ids), 1e-4
+def _audited_width(layers: list, ids: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_unit: np.ndarray) -> int:
+    """The narrowest beam by which the sampled queries find their nearest other vectors; the whole shard if none does."""
+    n = len(ids)
     sample = np.linspace(0, len(query_ids) - 1, min(AUDITS, len(query_ids))).astype(np.int64)
-    exact = query_unit[sample] @ unit.T
+    own = query_ids[sample][:, None]
+    others = np.where(own == ids[None, :], -np.inf, query_unit[sample] @ unit.T)
+    k = min(AUDIT_NEAREST, n - 1)
+    if len(sample) * k < LEAST_AUDITED:
+        return n
+    least = np.partition(others, n - k, axis=1)[:, n - k] - 1e-6  # of equally near ones any will do
     width = min(BEAM, n)
-    while True:
-        near, sims = search(layers, unit, query_unit, width)
-        found = (sims[sample] >= threshold).sum()
-        wanted = np.minimum((exact >= threshold).sum(axis=1), width).sum()
-        if width == n or found >= RECALL * wanted:
+    while width < n:
+        near, sims = search(layers, unit, query_unit[sample], width)
+        found = ((sims >= least[:, None]) & (ids[near] != own)).sum(axis=1)
+        if np.minimum(found / k, 1).mean() >= RECALL:
             break
         width = min(n, 2 * width)
+    return width
+
+
+def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float) -> pd.DataFrame:
+    """Rows (a, b, n): links with n = 0, and for each query with links in this shard their number with b null."""
+    n, margin = len(ids), 1e-4
+    width = _audited_width(layers, ids, unit, query_ids, query_unit)
+    near, sims = search(layers, unit, query_unit, width)
     saturated = (sims[:, -1] >= threshold - margin) & (width < n)
     # queries with room in their beam: every link is in it
     q, k = np.nonzero((sims >= threshold - margin) & ~saturated[:, None])

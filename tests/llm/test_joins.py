@@ -121,3 +121,20 @@ def test_recall():
     for n in (1, 2, 5):
         small = hnsw.build(vectors[:n], 0)
         assert sorted(hnsw.search(small, vectors[:n], vectors[:1], 8)[0][0].tolist()) == list(range(n))
+
+
+def ring(n):
+    """A poor graph: one layer in which each node leads to the next alone."""
+    neighbours = np.full((n, hnsw.NEIGHBOURS), n, np.int64)
+    neighbours[:, 0] = (np.arange(n) + 1) % n
+    return [(np.arange(n), neighbours)]
+
+
+def test_audit_without_near_copies():
+    rng = np.random.default_rng(5)
+    full = rng.normal(size=(700, 24))
+    queries = rng.normal(size=(300, 24))
+    queries[131] = full[650] + 0.01 * rng.normal(size=24)  # the only link, and no audited query
+    unit, query_unit = [(x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32) for x in (full, queries)]
+    found = hnsw.link_slice(ring(700), np.arange(700), full, unit, np.arange(1000, 1300), queries, query_unit, 0.95)
+    assert {(r.a, r.b) for r in found[found["n"] == 0].itertuples()} == {(1131, 650)}
