@@ -5,9 +5,10 @@ a layer is built from above, its nodes inserted in growing batches, and every no
 mutually diverse and some far neighbours.  Every vector then queries every shard, in slices of a
 bounded number of queries.  In each shard and slice a sample of the queries is audited against
 an exact scan for the nearest other vectors, whatever their cosine: while the mean of the queries' own
-recalls is under ``RECALL``, the beam is widened, up to the whole shard.  A query whose whole beam is linked may have more links than the
-beam holds, so such queries scan the shard exactly, in blocks, and give their exact count and a
-spanning set of links instead of all pairs.  All cosines that count are verified in double precision.
+recalls is under ``RECALL``, the beam is widened, up to ``MOST_BEAM``; if that isn't enough the slice
+scans the shard exactly, in blocks.  A query whose whole beam is linked may have more links than the
+beam holds, so such queries scan the shard exactly too, and give their exact count and a
+spanning set of links instead of all pairs.  Equal vectors are one node with a count.  All cosines that count are verified in double precision.
 
 Links are joined into components on DataFrames (see ``components``).  A task holds one shard's
 graph and one slice of queries, whatever the input's size.
@@ -29,12 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .skew import with_group
 from .storage import stored
 
 #: Vectors of a shard and queries of a slice, at most (on average); shards of any input, at least.
 SHARD_ROWS, SLICE_ROWS, LEAST_SHARDS = 50_000, 16_384, 6
-#: Neighbours of a node in a layer, beams for building and (at first) for searching.
-NEIGHBOURS, BUILD_BEAM, BEAM = 24, 40, 32
+#: Neighbours of a node in a layer, beams for building and (at first, and at most) for searching.
+NEIGHBOURS, BUILD_BEAM, BEAM, MOST_BEAM = 24, 40, 32, 64
+#: Cells of a block of an exact scan.
+BLOCK_CELLS = 1 << 23
 #: Nodes of a layer for each of the next one up.
 LAYER_RATIO = 24
 #: Audited queries in each slice and shard, the nearest others of each, the recall they must show, and neighbours audited at least.
@@ -207,41 +211,51 @@ def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.einsum("ad,ad->a", x, y) / np.sqrt(np.einsum("ad,ad->a", x, x) * np.einsum("ad,ad->a", y, y))
 
 
-def _audited_width(layers: list, ids: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_unit: np.ndarray) -> int:
-    """The narrowest beam by which the sampled queries find their nearest other vectors; the whole shard if none does."""
+def _audited_width(layers: list, ids: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_unit: np.ndarray) -> int | None:
+    """The narrowest beam by which the sampled queries find their nearest other vectors, if any."""
     n = len(ids)
     sample = np.linspace(0, len(query_ids) - 1, min(AUDITS, len(query_ids))).astype(np.int64)
     own = query_ids[sample][:, None]
     others = np.where(own == ids[None, :], -np.inf, query_unit[sample] @ unit.T)
     k = min(AUDIT_NEAREST, n - 1)
     if len(sample) * k < LEAST_AUDITED:
-        return n
+        return None
     least = np.partition(others, n - k, axis=1)[:, n - k] - 1e-6  # of equally near ones any will do
-    width = min(BEAM, n)
-    while width < n:
+    width = BEAM
+    while width <= min(MOST_BEAM, n):
         near, sims = search(layers, unit, query_unit[sample], width)
         found = ((sims >= least[:, None]) & (ids[near] != own)).sum(axis=1)
         if np.minimum(found / k, 1).mean() >= RECALL:
-            break
-        width = min(n, 2 * width)
-    return width
+            return width
+        width *= 2
+    return None
+
 
+def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float, copies: np.ndarray | None = None) -> pd.DataFrame:
+    """Rows (a, b, n): links with n = 0, and for each query with links in this shard their number with b null.
 
-def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float) -> pd.DataFrame:
-    """Rows (a, b, n): links with n = 0, and for each query with links in this shard their number with b null."""
+    A link with a node of several ``copies`` counts as many.
+    """
     n, margin = len(ids), 1e-4
+    copies = np.ones(n, np.int64) if copies is None else copies
     width = _audited_width(layers, ids, unit, query_ids, query_unit)
-    near, sims = search(layers, unit, query_unit, width)
-    saturated = (sims[:, -1] >= threshold - margin) & (width < n)
-    # queries with room in their beam: every link is in it
-    q, k = np.nonzero((sims >= threshold - margin) & ~saturated[:, None])
-    other = near[q, k]
-    linked = (_cosine(query_full[q], full[other]) >= threshold) & (query_ids[q] != ids[other])
-    q, other = q[linked], other[linked]
-    count = np.bincount(q, minlength=len(query_ids))
-    edges = [np.column_stack([query_ids[q], ids[other]])]
-    for a in range(0, int(saturated.sum()), 1024):
-        own = np.flatnonzero(saturated)[a : a + 1024]
+    count = np.zeros(len(query_ids), np.int64)
+    exact = np.ones(len(query_ids), bool)
+    edges = []
+    if width is not None:
+        near, sims = search(layers, unit, query_unit, width)
+        exact = sims[:, -1] >= threshold - margin
+        # queries with room in their beam: every link is in it
+        q, k = np.nonzero((sims >= threshold - margin) & ~exact[:, None])
+        other = near[q, k]
+        linked = (_cosine(query_full[q], full[other]) >= threshold) & (query_ids[q] != ids[other])
+        q, other = q[linked], other[linked]
+        np.add.at(count, q, copies[other])
+        edges.append(np.column_stack([query_ids[q], ids[other]]))
+    scanned = np.flatnonzero(exact)
+    step = max(16, min(1024, BLOCK_CELLS // n))
+    for a in range(0, len(scanned), step):
+        own = scanned[a : a + step]
         links = np.zeros((len(own), n), bool)
         for b in range(0, n, 4096):
             rough = query_unit[own] @ unit[b : b + 4096].T
@@ -249,10 +263,13 @@ def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray
             i, j = np.nonzero(np.abs(rough - threshold) < margin)  # only these need double precision to decide
             block[i, j] = _cosine(query_full[own[i]], full[b + j]) >= threshold
             links[:, b : b + 4096] = block & (query_ids[own][:, None] != ids[None, b : b + 4096])
-        count[own] = links.sum(axis=1)
-        edges.append(_spanning(links, query_ids[own], ids))
+        i, j = np.nonzero(links)
+        np.add.at(count, own[i], copies[j])
+        rows, columns = np.unique(i), np.unique(j)
+        edges.append(_spanning(links[np.ix_(rows, columns)], query_ids[own[rows]], ids[columns]))
     some = np.flatnonzero(count)
-    pairs = np.concatenate(edges)
+    pairs = np.concatenate([np.zeros((0, 2), np.int64), *edges])
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
     return pd.DataFrame({"a": np.concatenate([pairs[:, 0], query_ids[some]]), "b": pd.array(np.concatenate([pairs[:, 1], np.zeros(len(some), np.int64)]), "Int64"), "n": np.concatenate([np.zeros(len(pairs), np.int64), count[some]])})
 
 
@@ -294,7 +311,9 @@ def packed(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``."""
-    own = stored(packed(vectors, id_column, vector_column), "vectors")
+    each = with_group(packed(vectors, id_column, vector_column).withColumn("digest", F.sha2("blob", 256)), ["digest"], "vec_id", {"rep": (F.min("vec_id"), "min"), "copies": (F.count("*"), "sum")})
+    each = stored(each.drop("digest"), "vectors")
+    own = each.where("vec_id = rep").select("vec_id", "dim", "blob", "copies")
     n = own.count()
     shards, parts = max(LEAST_SHARDS, -(-n // shard_rows)), max(1, -(-n // SLICE_ROWS))
     own = own.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
@@ -302,7 +321,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     def make(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", ignore_index=True)
         full, unit = _unit(rows["blob"])
-        graph = pickle.dumps((rows["vec_id"].to_numpy(), full.tobytes(), [(a.astype(np.int32), b.astype(np.int32)) for a, b in build(unit, int(key[1]))]), protocol=5)
+        graph = pickle.dumps((rows["vec_id"].to_numpy(), rows["copies"].to_numpy(), full.tobytes(), [(a.astype(np.int32), b.astype(np.int32)) for a, b in build(unit, int(key[1]))]), protocol=5)
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [graph]})
 
     graphs = stored(own.groupBy("dim", "shard").applyInPandas(make, "dim int, shard long, graph binary"), "graphs")
@@ -310,12 +329,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     def ask(key: tuple, graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if graph.empty or queries.empty:
             return pd.DataFrame({"a": pd.array([], "int64"), "b": pd.array([], "Int64"), "n": pd.array([], "int64")})
-        ids, full, layers = pickle.loads(graph["graph"].iloc[0])
+        ids, copies, full, layers = pickle.loads(graph["graph"].iloc[0])
         full = np.frombuffer(full, np.float64).reshape(len(ids), -1)
         unit = (full / np.linalg.norm(full, axis=1)[:, None]).astype(np.float32)
         layers = [(a.astype(np.int64), b.astype(np.int64)) for a, b in layers]
         query_full, query_unit = _unit(queries["blob"])
-        return link_slice(layers, ids, full, unit, queries["vec_id"].to_numpy(), query_full, query_unit, threshold)
+        return link_slice(layers, ids, full, unit, queries["vec_id"].to_numpy(), query_full, query_unit, threshold, copies)
 
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("slice")
     spread = graphs.select("dim", "shard", "graph", slices)
@@ -325,6 +344,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
 
     labels = components(found.where("n = 0").select("a", "b"))
     counts = found.where("n > 0").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
-    out = vectors.select(F.col(id_column).cast("long").alias("vec_id")).join(counts, "vec_id", "left").join(labels.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+    reps = own.select(F.col("vec_id").alias("rep"), "copies").join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    reps = reps.select("rep", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    named = each.select("vec_id", "rep").join(reps, "rep")
+    out = vectors.select(F.col(id_column).cast("long").alias("vec_id")).join(named, "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -138,3 +138,25 @@ def test_audit_without_near_copies():
     unit, query_unit = [(x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32) for x in (full, queries)]
     found = hnsw.link_slice(ring(700), np.arange(700), full, unit, np.arange(1000, 1300), queries, query_unit, 0.95)
     assert {(r.a, r.b) for r in found[found["n"] == 0].itertuples()} == {(1131, 650)}
+
+
+def test_sealed_off_vectors():
+    rng = np.random.default_rng(6)
+    full = rng.normal(size=(700, 24))
+    queries = np.concatenate([full[350:] + 0.01 * rng.normal(size=(350, 24))])
+    layers = ring(700)
+    layers[0][1][349] = 700  # nothing leads from the first half to the second
+    unit, query_unit = [(x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32) for x in (full, queries)]
+    found = hnsw.link_slice(layers, np.arange(700), full, unit, np.arange(1000, 1350), queries, query_unit, 0.95)
+    assert {(r.a, r.b) for r in found[found["n"] == 0].itertuples()} == {(1000 + i, 350 + i) for i in range(350)}
+
+
+def test_many_equal_vectors(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 16))
+    rows = [(i, base[i].tolist()) for i in range(300)]
+    rows += [(1000 + i, base[0].tolist()) for i in range(400)] + [(2000 + i, (base[0] + 0.01 * rng.normal(size=16)).tolist()) for i in range(3)]
+    got = {r["vec_id"]: r for r in hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    group = [0, *range(1000, 1400), *range(2000, 2003)]
+    assert all((got[i]["n_links"], got[i]["component_id"]) == (403, 0) for i in group)
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(1, 300))
