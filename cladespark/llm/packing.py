@@ -169,7 +169,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_rows: int = GROUP
         done.append(current.where("bins = bound"))
         current = current.where("bins > bound")
         again = stored(_pack(current, -(-open_groups // 2), turn, capacity), "packed")
-        if _gaps(again)[1] >= bins:
+        if _bins(again) >= bins:  # both over the same pieces
             break
         current = again
     for part in done:
@@ -177,6 +177,12 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_rows: int = GROUP
     return current
 
 
+def _bins(packed: DataFrame) -> int:
+    """Bins of all groups."""
+    by_group = packed.groupBy((F.col("sequence_id") / F.lit(1 << 28)).cast("long").alias("group")).agg(F.max("bins").alias("bins"))
+    return by_group.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("bins")).first()["bins"]
+
+
 def _gaps(packed: DataFrame) -> tuple[int, int]:
     """Groups with a gap, and the bins these have together: two numbers for any input."""
     by_group = packed.where("bins > bound").groupBy((F.col("sequence_id") / F.lit(1 << 28)).cast("long").alias("group")).agg(F.max("bins").alias("bins"))

@@ -142,3 +142,19 @@ def test_exchange(spark):
     assert sorted(found["doc_id"]) == list(range(900))
     assert found["sequence_id"].nunique() <= alone["sequence_id"].nunique()
     assert (found.groupby("sequence_id")["length"].sum() <= 2048).all()
+
+
+def test_exchange_compares_all_bins(spark, monkeypatch):
+    # one piece a bin; the second turn closes its group with more bins than both groups had
+    turns = [[(0, 3, 2), (1, 3, 2)], [(0, 7, 7)]]
+
+    def canned(pieces, groups, turn, capacity):
+        if turn >= len(turns):
+            return pieces.limit(0)
+        rows = [(g, 0, 0, 0, 1, 0, (turn << 60) + (g << 28) + b, 0, bins, bound) for g, bins, bound in turns[turn] for b in range(bins)]
+        return spark.createDataFrame(rows, packing.PACKED)
+
+    monkeypatch.setattr(packing, "_pack", canned)
+    pieces = spark.createDataFrame([(0, 0, 0, 0, 1, 0)], "doc_id long, copy long, piece int, start long, length int, ids_crc32 long")
+    found = packing.pack_pieces(pieces, 4, group_rows=1)
+    assert found.select("sequence_id").distinct().count() == 6
