@@ -78,8 +78,8 @@ class Weights:
     keys: list[np.ndarray]
     values: list[np.ndarray]
 
-    def of(self, levels: list[np.ndarray]) -> np.ndarray:
-        """Score of each token: its deepest known feature's log-odds less the drift."""
+    def of(self, levels: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        """Score of each token: its deepest known feature's log-odds less the drift. ``at`` are the texts' offsets in tokens."""
         out = np.zeros(len(levels[0]), np.float64)
         for hashes, keys, values in zip(levels, self.keys, self.values, strict=True):
             if len(keys) and len(hashes):
@@ -87,7 +87,10 @@ class Weights:
                 known = keys[near] == hashes
                 out[known] = values[near[known]]
         whole = levels[-1]
-        out[1:][whole[1:] == whole[:-1]] = 0.0  # a word said again at once is no new evidence
+        again = np.zeros(len(whole), bool)
+        again[1:] = whole[1:] == whole[:-1]
+        again[at[:-1][at[:-1] < len(whole)]] = False  # a text's first word follows no other
+        out[again] = 0.0  # a word said again at once is no new evidence
         return out - DRIFT
 
 
@@ -206,7 +209,7 @@ def _segments_of_training(training: DataFrame, halves: tuple[Weights, Weights])
         for batch in batches:
             for part in slices(batch, "text"):
                 levels, _, _, at = features(part.column("text"))
-                scores = [w.of(levels) for w in halves]
+                scores = [w.of(levels, at) for w in halves]
                 half = part.column("half").to_numpy(zero_copy_only=False)
                 found = [[s for _, _, s in maximal_segments(scores[1 - half[i]][at[i] : at[i + 1]])] for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(np.diff(at).astype(np.int64)), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "n", "scores"])
@@ -284,7 +287,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
         for batch in batches:
             for part in slices(batch, "text"):
                 levels, begins, ends, at = features(part.column("text"))
-                values = own.weights.of(levels)
+                values = own.weights.of(levels, at)
                 scores, passages = [], []
                 for i in range(part.num_rows):
                     a, b = at[i], at[i + 1]
@@ -311,7 +314,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 levels, _, _, at = features(part.column(text))
-                values = own.weights.of(levels)
+                values = own.weights.of(levels, at)
                 clean = []
                 for i in range(part.num_rows):
                     best, total = own.document(maximal_segments(values[at[i] : at[i + 1]]), at[i + 1] - at[i])

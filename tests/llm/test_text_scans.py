@@ -160,3 +160,23 @@ def test_word_spans():
     assert (again == hashes[:3]).all()
     sliced, _ = textbatch.word_hashes(texts.slice(3, 2))
     assert (sliced == hashes[3:5]).all()
+
+
+def test_first_words_count():
+    texts = ["grumple", "grumple", "", "grumple grumple", "grumple tanri", "tanri grumple"]
+    levels, _, _, at = toxicity.features(pa.array(texts))
+    whole = levels[-1]
+    empty = [np.zeros(0, np.uint64)] * len(toxicity.PREFIXES)
+    weights = toxicity.Weights([*empty, whole[:1]], [*empty, np.array([2.0])])
+    scores = weights.of(levels, at) + toxicity.DRIFT
+    assert [scores[a:b].tolist() for a, b in zip(at, at[1:])] == [[2.0], [2.0], [], [2.0, 0.0], [2.0, 0.0], [0.0, 2.0]]
+
+
+def test_equal_texts_score_equally(spark):
+    rows = corpus(300, 4)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    texts = ["grumple", "grumple", "berda grumple berda", "berda grumple berda", "grumple"]
+    model = toxicity.fit(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), labels)
+    own = spark.createDataFrame([(5000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"] - 5000: r["score"] for r in toxicity.score(own, model).collect()}
+    assert found[0] == found[1] == found[4] and found[2] == found[3]
