@@ -378,7 +378,12 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
 def without_near_copies(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the row with the least doc_id stays.
 
-    Rows that share a doc_id are one document, of which one row stays.
+    Rows are told apart by an own key and not by doc_id, so rows with a null doc_id, and rows that share
+    one with different texts, stay unless they are near copies; a null doc_id comes after all others.
     """
-    kept = join(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    found = join(keyed, width, percent, "_row").select(F.col("doc_id").alias("_row"), "component_id")
+    named = keyed.select("_row", "doc_id").join(found, "_row")
+    first = {"first": (F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")), "min")}
+    kept = with_group(named, ["component_id"], "_row", first).where("_row = first._row").select("_row")
+    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)

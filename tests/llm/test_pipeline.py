@@ -33,3 +33,12 @@ def test_stages(spark, tmp_path):
     masked = seen["secret_scan"][1002]
     assert masked["text"].startswith("[SECRET]") and masked["n_chars"] == len(masked["text"])
     assert set(seen["packing"]) == set(seen["secret_scan"])
+
+
+def test_rows_without_own_id(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(300)}" for _ in range(60)) for x in "abcd")
+    rows = [(1, a), (1, b), (1, b), (None, c), (None, d), (None, d), (7, c), (2, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in found.collect()) == sorted([(1, a), (1, b), (7, c), (0, d)])
