@@ -3,7 +3,8 @@
 Normalising lower-cases ASCII, removes copyright lines, turns punctuation and white space into single
 spaces and replaces spellings that mean the same.  The SHA-256 of the result is joined with the
 digests of known licence texts, which went through the same expressions.  Everything is built-in
-column functions; the known texts are a fixed table of a few kilobytes, so it is broadcast.
+column functions; the known texts are an argument, by default a fixed table of short texts and of full
+licences (``licence_files``), some hundred kilobytes; their digests are broadcast.
 
 Defined results: a null text counts as empty; texts without a known digest have a null licence;
 if two known texts had one digest, the first name by order is taken; repeated rows give equal
@@ -12,6 +13,8 @@ rows; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +42,28 @@ def normalised(text: Column) -> Column:
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, licence_id) of the known texts."""
-    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("licence_id"), F.lit(text).alias("text")) for name, text in KNOWN.items()])).alias("known")
-    texts = spark.range(1).select(rows).select("known.*")
+def _texts(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("licence_id"), F.lit(text).alias("text")) for name, text in texts.items()])).alias("known")
+    return spark.range(1).select(rows).select("known.*")
+
+
+def known_texts(spark: SparkSession) -> DataFrame:
+    """(licence_id, text): the short texts and the full licences. The driver reads the files."""
+    return _texts(spark, KNOWN | {file.stem: file.read_text(encoding="utf-8") for file in sorted((Path(__file__).parent / "licence_files").glob("*.txt"))})
+
+
+def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """(digest, licence_id) of known texts, by default the short ones."""
+    texts = _texts(spark, KNOWN) if known is None else known
     return texts.groupBy(F.sha2(normalised(F.col("text")), 256).alias("digest")).agg(F.min("licence_id").alias("licence_id"))
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, digest, licence_id) of whole texts. No shuffle of documents."""
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """(doc_id, digest, licence_id) of whole texts, by the (licence_id, text) of ``known``. No shuffle of documents."""
+    spark = docs.sparkSession
     own = docs.select(F.col(id_column).alias("doc_id"), F.sha2(normalised(F.col(text_column)), 256).alias("digest"))
-    return own.join(F.broadcast(known_digests(docs.sparkSession)), "digest", "left").select("doc_id", "digest", "licence_id")
+    digests = known_digests(spark, known_texts(spark) if known is None else known)
+    return own.join(F.broadcast(digests), "digest", "left").select("doc_id", "digest", "licence_id")
 
 
 def _sql_string(text: str) -> str:

@@ -180,3 +180,14 @@ def test_equal_texts_score_equally(spark):
     own = spark.createDataFrame([(5000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
     found = {r["doc_id"] - 5000: r["score"] for r in toxicity.score(own, model).collect()}
     assert found[0] == found[1] == found[4] and found[2] == found[3]
+
+
+def test_full_licences(spark):
+    from pathlib import Path
+
+    files = sorted((Path(licences.__file__).parent / "licence_files").glob("*.txt"))
+    docs = spark.createDataFrame([(f.stem, f.read_text().upper()) for f in files] + [("own", "My own terms.")], "doc_id string, text string")
+    found = {r["doc_id"]: r["licence_id"] for r in licences.scan(docs).collect()}
+    assert len(files) == 7 and found == {f.stem: f.stem for f in files} | {"own": None}
+    known = spark.createDataFrame([("mine", "my own   terms")], "licence_id string, text string")
+    assert [r["licence_id"] for r in licences.scan(docs.where("doc_id = 'own'"), known=known).collect()] == ["mine"]
