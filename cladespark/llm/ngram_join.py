@@ -2,8 +2,8 @@
 
 Two documents link when ``100 * intersection >= percent * union`` for their sets of word n-grams.
 
-1. All documents' n-grams are counted in a table of ``COUNTERS`` counters (of a fixed size whatever the
-   input), which orders n-grams rare first.  The order only has to be the same everywhere, so
+1. All documents' n-grams are counted in a table of counters, which orders n-grams rare first.  The table
+   grows with the bytes of text up to ``MOST_COUNTERS``.  The order only has to be the same everywhere, so
    sharing counters costs no links; an n-gram in a given share of all documents stands out in the
    same way at any size.
 2. Equal sets are one class, by their size and a digest of 64 bits; its least doc_id stands for it.
@@ -23,7 +23,9 @@ Two documents link when ``100 * intersection >= percent * union`` for their sets
    and not its square, and no link between components is lost.
 
 Memory: documents are handled in slices; texts are shuffled only for documents in candidate pairs (a bit
-table of a fixed size lets most others go before the shuffle, a join lets go the rest).
+table, which grows with these up to ``MOST_BITS``, lets most others go before the shuffle, a join lets go the rest).
+Both tables are at most 16 MB, however large the input.  What a turn links is contracted to one link a document
+before the next turn's links are added.
 Skew: buckets are reduced with salts; joins by document are left to adaptive splitting.
 
 Defined results: null texts and texts without words have the empty set and link with nothing; fewer words
@@ -42,19 +44,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import dropped, stored
 from .components import components
 from .skew import with_group
-from .storage import stored
-from .textbatch import mix, release, shingle_sets, slices, small_batches
+from .textbatch import mix, release, shingle_sets, slices
 
-#: Counters of the frequency table, and the rows it is dealt into for summing.
-COUNTERS, PARTS = 1 << 19, 32
+#: Bytes of text for each counter of the frequency table, its least and greatest size, and the rows it is dealt into for summing.
+COUNTER_BYTES, LEAST_COUNTERS, MOST_COUNTERS, PARTS = 2048, 1 << 19, 1 << 22, 32
 #: N-grams of prefixes in a block, on average; n-grams with so many times the mean count skip the blocks.
 BLOCK_ROWS, HOT = 1_000_000, 8
 #: N-grams that prefixes of large sets must share, and from which size a set is large.
 DEEP, LARGE = 8, 64
-#: Bits of the table of documents in candidate pairs.
-BITS = 1 << 24
+#: Bits of the table of documents in candidate pairs: for each of these, at least, and at most.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 #: Hash ranges of the suffix filter.
 RANGES = 256
 #: Turns in which buckets are compared with one leader each, before all that is left is joined.
@@ -67,20 +69,27 @@ POSTING = "h long, class long, n long, deep int, pos int"
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+
+
+def _power_of_two(n: int, least: int, most: int) -> int:
+    """The least power of two from ``n`` on within bounds that are powers of two."""
+    return min(most, max(least, 1 << max(0, n - 1).bit_length()))
 
 
 def frequencies(texts: DataFrame, width: int) -> np.ndarray:
-    """Documents by counter, over all documents. The result has a fixed size."""
-    size = COUNTERS // PARTS
+    """Documents by counter, over all documents. The result has a bounded size."""
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counters = _power_of_two(total // COUNTER_BYTES, LEAST_COUNTERS, MOST_COUNTERS)
+    size = counters // PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(counters, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), width)
                 if sets:
-                    total += np.bincount((np.concatenate(sets) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                    total += np.bincount((np.concatenate(sets) & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
         if total.any():
             parts = total.reshape(PARTS, size)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
@@ -99,7 +108,7 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
     out = np.zeros((PARTS, size), np.int64)
     for row in sums:
         out[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    return out.ravel()
+    return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -109,6 +118,7 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
     Ranges are null where one has more than 127 n-grams; the suffix filter then lets pairs pass.
     """
     shared = texts.sparkSession.sparkContext.broadcast(counts)
+    mask = np.uint64(len(counts) - 1)
     shift = np.uint64(64 - (RANGES - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +129,7 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                 for key, own in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), width), strict=True):
                     size = len(own)
                     digest = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
-                    order = np.lexsort((own, counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                    order = np.lexsort((own, counts[(own & mask).astype(np.int64)]))
                     spare = size - -(-percent * size // 100)
                     ranges = np.bincount((own >> shift).astype(np.int64), minlength=RANGES)
                     ranges = ranges.astype(np.int8) if ranges.max() < 128 else None
@@ -133,7 +143,9 @@ def profiles(texts: DataFrame, width: int, percent: int, counts: np.ndarray) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=["doc_id", "n", "class", "main", "deep", "prefix", "ranges"])
         release()
 
-    return texts.mapInArrow(run, PROFILE)
+    found = stored(texts.mapInArrow(run, PROFILE), "profiles")
+    shared.destroy()
+    return found
 
 
 def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
@@ -145,7 +157,7 @@ def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
     total = own.agg(F.sum(F.size("prefix"))).first()[0] or 0
     blocks = max(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_ROWS))
     hot = counts > HOT * max(1.0, float(counts.mean())) + 1000
-    shared = own.sparkSession.sparkContext.broadcast(np.packbits(hot))
+    shared, mask = own.sparkSession.sparkContext.broadcast(np.packbits(hot)), np.uint64(len(counts) - 1)
     packed = "block int, h binary, class binary, n binary, deep binary, pos binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +174,7 @@ def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
             columns = [plain_h, np.repeat(batch.column("class").to_numpy(), size), np.repeat(batch.column("n").to_numpy(), size), deep, (np.arange(len(h)) - np.repeat(begin, size)).astype(np.int32)]
             # frequent n-grams keep single rows under the block -1
             block = ((h >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-            block[frequent[(columns[0] & np.uint64(COUNTERS - 1)).astype(np.int64)]] = -1
+            block[frequent[(columns[0] & mask).astype(np.int64)]] = -1
             columns[0] = h
             order = np.argsort(block, kind="stable")
             block = block[order]
@@ -193,7 +205,9 @@ def shared_postings(own: DataFrame, counts: np.ndarray) -> DataFrame:
     dealt = own.where("n > 0").select("class", "n", "deep", "prefix").mapInArrow(deal, packed)
     by_block = dealt.where("block >= 0").groupBy("block").applyInPandas(repeated, POSTING)
     frequent = dealt.where("block < 0").mapInArrow(plain, POSTING).dropDuplicates(["h", "class", "n"])
-    return by_block.unionByName(frequent)
+    found = stored(by_block.unionByName(frequent), "postings")
+    shared.destroy()
+    return found
 
 
 def _length_filter(small: str, large: str, percent: int) -> Column:
@@ -235,11 +249,12 @@ def _suffix_filter(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame
 def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``texts`` whose doc_id is in ``ids``.
 
-    A bit table of a fixed size, filled from all ids, lets other rows go before anything is shuffled.
+    A bit table of a bounded size, filled from all ids, lets other rows go before anything is shuffled.
     """
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    bits = _power_of_two(BITS_EACH * ids.count(), LEAST_BITS, MOST_BITS)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     words = ids.select(place("doc_id").alias("p")).groupBy(F.expr("cast(p div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")).toArrow()
-    table = np.zeros(BITS // 64, np.int64)
+    table = np.zeros(bits // 64, np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
@@ -252,13 +267,16 @@ def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
                 yield batch.select(["doc_id", "text"]).filter(pa.array(hit))
 
     likely = texts.where("doc_id is not null").select("doc_id", "text", place("doc_id").alias("p")).mapInArrow(run, "doc_id long, text string")
-    return likely.join(ids, "doc_id", "left_semi")
+    found = stored(likely.join(ids, "doc_id", "left_semi"), "near-texts")
+    shared.destroy()
+    return found
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts' sets link; each pair is given once and verified once."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    near = stored(_texts_of(ids, texts), "near-texts")
+    ids = stored(ids, "near-ids")
+    near = _texts_of(ids, texts)
     side = lambda name: near.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "a_text", "b_text")
 
@@ -283,7 +301,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(linked))
         release()
 
-    return stored(both.mapInArrow(run, "a long, b long"), "links")
+    links = stored(both.mapInArrow(run, "a long, b long"), "links")
+    dropped(ids, near)
+    return links
 
 
 _PLACE = ["n", "doc_id", "pos", "before"]
@@ -341,16 +361,19 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     """
     texts = _texts(docs, id_column, text_column)
     counts = frequencies(texts, width)
-    own = stored(profiles(texts, width, percent, counts), "profiles")
+    own = profiles(texts, width, percent, counts)
     main = own.where("main")
     classes = stored(main.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    shared = stored(shared_postings(own, counts), "postings")
+    shared = shared_postings(own, counts)
     postings = stored(_ranked(shared.join(classes, ["class", "n"]).select("h", F.col("rep").alias("doc_id"), "n", "deep", "pos"), percent).drop("deep"), "postings")
     some = postings.select("doc_id").distinct()
     reps = stored(main.select("doc_id", "n", "ranges").join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "ranges")
 
-    tried = links = labels = None
+    dropped(shared)
+
+    tried = labels = None
     for turn in range(LEADERS + 1):
+        mixed = None
         if turn == 0:
             candidates = _by_leader(postings, percent)
         else:
@@ -362,12 +385,18 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
         if turn:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        dropped(mixed)
         tried = tried.unionByName(pairs) if turn else pairs
         found = verified(pairs, texts, width, percent)
         if turn and not found.take(1):
             continue
-        links = links.unionByName(found) if turn else found
-        labels = stored(components(links), "labels")
+        # what was linked before is one link a document by now
+        before, links = labels, found
+        if turn:
+            links = links.unionByName(before.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        labels = components(links)
+        dropped(found, before)
+    dropped(postings, reps)
 
     members = main.where("n > 0").select("doc_id", "n", "class").join(classes, ["class", "n"])
     named = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
-from .textbatch import release, slices, small_batches, strings
+from ..storage import stored
+from .textbatch import release, slices, strings
 from .vocab import BYTE_LEVEL_PATTERN, byte_characters, definition, is_plain, special_ids, tokenizer, vocabulary_path
 
 #: Pieces dealt to a group on average; a group is a few numbers per piece.
@@ -83,7 +83,7 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: s
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows, kinds, strict=True)], names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
         release()
 
-    own = small_batches(docs).select(F.col(id_column).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("copy"), F.col(text_column).alias("text"))
+    own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("copy"), F.col(text_column).alias("text"))
     return own.mapInArrow(run, PIECES)
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hnsw, licences, media, ngram_join, packing, secret_scan, token_counts, toxicity, warc
+from . import bpe, hnsw, licences, media, ngram_join, packing, secret_scan, textbatch, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    textbatch.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -15,12 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 
 #: Bytes of text handled at once; numpy temporaries are about 20 times this.
 SLICE_BYTES = 1 << 20
 
-#: Rows that Spark hands to Python at once; texts may be long.
+#: Rows that Spark hands to Python at once in the registered queries.
 BATCH_ROWS = 1_000
 
 _RNG = np.random.default_rng(0x5EED)
@@ -149,10 +149,12 @@ def shingle_sets(array: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-def small_batches(frame: DataFrame) -> DataFrame:
-    """The frame, for a session in which batches of texts for Python are small."""
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return frame
+def small_batches(spark: SparkSession) -> None:
+    """For an application's own session: fewer rows handed to Python at once than Spark's default.
+
+    Operators don't need it and don't set it; Spark bounds a batch's bytes by itself (maxBytesPerBatch).
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def release() -> None:

@@ -31,8 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
-from .textbatch import flat_bytes, mix, release, slices, small_batches, span_hashes, words
+from ..storage import stored
+from .textbatch import flat_bytes, mix, release, slices, span_hashes, words
 
 #: Labelled rows that a model is learned from, at most.
 MAX_TRAINING = 20_000
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     key = F.col(id_column).cast("long")
     chosen = labels.where(F.col(label_column).isin(0, 1)).where(~held_out(key)).groupBy(key.alias("_id")).agg(F.max(label_column).cast("int").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(max_training)
-    own = small_batches(docs).select(key.alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id")
+    own = docs.select(key.alias("_id"), F.col(text_column).alias("text")).join(F.broadcast(chosen), "_id")
     # repeated rows of a document are one training row
     own = own.groupBy("_id", "toxic").agg(F.min("text").alias("text"))
     training = stored(own.select("toxic", F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int").alias("half"), "text"), "toxic-training")
@@ -301,7 +301,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
         release()
 
     key = F.col(id_column).cast("long")
-    return small_batches(docs).select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_column).alias("text")).mapInArrow(run, SCORED)
+    return docs.select(key.alias("doc_id"), held_out(key).alias("held_out"), F.col(text_column).alias("text")).mapInArrow(run, SCORED)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -322,4 +322,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield part.filter(pa.array(clean, pa.bool_()))
         release()
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

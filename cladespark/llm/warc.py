@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import new_path, stored
+from ..storage import new_path, stored
 from .textbatch import slices
 
 #: Uncompressed bytes after which an archive is closed, and records.

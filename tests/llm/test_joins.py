@@ -33,6 +33,8 @@ def test_components(spark):
     found = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     wanted = roots({x for a, b in links if a != b for x in (a, b)}, links)
     assert found == wanted
+    parts = components.components(spark.createDataFrame(links, "a long, b long"), chunk=40)
+    assert {r["id"]: r["component"] for r in parts.collect()} == wanted
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
