@@ -11,19 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladespark.cluster import ship_package
-from cladespark.llm import ngram_join, packing, secret_scan, toxicity
-from cladespark.llm.storage import stored
+from cladespark.llm import ngram_join, packing, secret_scan, textbatch, toxicity
+from cladespark.storage import dropped, stored
+
+
+def _prepared(spark: SparkSession) -> None:
+    """The package is with the workers, and they are handed few texts at once."""
+    ship_package(spark)
+    textbatch.small_batches(spark)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows predicted to be toxic go; the model is learned from ``labels`` and the rows of ``docs``."""
-    ship_package(spark)
+    _prepared(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that 5-word shingles of similarity 0.8 or more connect, the least doc_id stays."""
-    ship_package(spark)
+    _prepared(spark)
     return ngram_join.without_near_copies(docs, width=5, percent=80)
 
 
@@ -38,7 +44,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of at most 2048 ids and their places in sequences."""
-    ship_package(spark)
+    _prepared(spark)
     packed = packing.pack_documents(docs, capacity=2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
@@ -52,7 +58,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stored(docs, name)
+            dropped(before)
     return docs
