@@ -16,11 +16,11 @@ Two documents link when ``100 * intersection >= percent * union`` for their sets
 4. Documents that share an n-gram are compared with the bucket's first (the smallest set); pairs must pass
    the length filter, the positional filter and a suffix filter (an upper bound of the overlap from the
    counts of n-grams by hash range), and are verified once, on the whole texts.
-5. Verified links are joined into components.  Buckets that still hold more than one component go on: the
-   smallest set of one of them, chosen by a hash, is compared with all members of the others;
-   after ``LEADERS`` turns the members of different components are joined in full under the same
+5. Verified links are joined into components.  Buckets that still hold more than one component go on: some of
+   their members, chosen by a hash (about 8, then 64 a bucket), are compared with those of other components;
+   after these turns the members of different components are joined in full under the same
    filters.  Pairs inside a component need no comparing, so a group of near copies costs its size
-   and not its square, and no link between components is lost.
+   and not its square, even one in which only a tenth of the pairs link; and no link between components is lost.
 
 Memory: documents are handled in slices; texts are shuffled only for documents in candidate pairs (a bit
 table, which grows with these up to ``MOST_BITS``, lets most others go before the shuffle, a join lets go the rest).
@@ -59,8 +59,8 @@ DEEP, LARGE = 8, 64
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 #: Hash ranges of the suffix filter.
 RANGES = 256
-#: Turns in which buckets are compared with one leader each, before all that is left is joined.
-LEADERS = 2
+#: After the turn in which buckets are compared with their smallest set: with how many members in each further turn, before all that is left is joined.
+SOME = (8, 64)
 #: N-grams of a set by which a pair that is met several times is told.
 FIRST = 32
 
@@ -309,30 +309,43 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 _PLACE = ["n", "doc_id", "pos", "before"]
 
 
-def _pairs_with(joined: DataFrame, leader: str, percent: int) -> DataFrame:
-    """Rows against the leader they were joined to, under the length and positional filters."""
-    sides = [F.col(f"{leader}.{c}").alias("a" if c == "doc_id" else f"a_{c}") for c in _PLACE] + [F.col(c).alias("b" if c == "doc_id" else f"b_{c}") for c in _PLACE]
+def _pairs_with_first(joined: DataFrame, percent: int) -> DataFrame:
+    """Rows against their bucket's first, under the length and positional filters."""
+    sides = [F.col(f"first.{c}").alias("a" if c == "doc_id" else f"a_{c}") for c in _PLACE] + [F.col(c).alias("b" if c == "doc_id" else f"b_{c}") for c in _PLACE]
     return joined.select(*sides).where("a != b").where(_length_filter("a_n", "b_n", percent)).where(_position_filter(percent)).select("a", "b").distinct()
 
 
 def _by_leader(postings: DataFrame, percent: int) -> DataFrame:
     """Each bucket's members against its smallest set."""
     first = {"first": (F.min(F.struct(*_PLACE)), "min"), "size": (F.count("*"), "sum")}
-    return _pairs_with(with_group(postings, ["h"], "doc_id", first, "size > 1"), "first", percent)
+    return _pairs_with_first(with_group(postings, ["h"], "doc_id", first, "size > 1"), percent)
 
 
 def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """The postings, with their component, of buckets that hold more than one component."""
+    """The postings, with their component and their bucket's size, of buckets that hold more than one component."""
     named = postings.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    values = {"least": (F.min("component"), "min"), "most": (F.max("component"), "max")}
+    values = {"least": (F.min("component"), "min"), "most": (F.max("component"), "max"), "size": (F.count("*"), "sum")}
     return with_group(named, ["h"], "doc_id", values, "least != most").drop("least", "most")
 
 
-def _by_next_leader(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Members against the smallest set of one of the bucket's components, another in each turn, where the components differ."""
-    order = F.struct(F.xxhash64("component", F.lit(turn)).alias("turn"), "component", *_PLACE)
-    joined = with_group(mixed, ["h"], "doc_id", {"leader": (F.min(order), "min")}).where("component != leader.component")
-    return _pairs_with(joined, "leader", percent)
+def _by_some(mixed: DataFrame, reps: DataFrame, many: int, turn: int, percent: int) -> DataFrame:
+    """Members against about ``many`` members of their bucket, where the components differ, under all filters as they are joined.
+
+    A hash of the document and the turn chooses these, so a bucket needn't be gathered to choose them, and those chosen in one
+    bucket are likely to be chosen in others that they are in.
+    """
+    chosen = mixed.where(F.expr(f"pmod(xxhash64(doc_id, {turn}), 1000003) * size < 1000003D * {many}"))
+    return _joined(_side(chosen, reps, "a"), _side(mixed, reps, "b"), F.col("a") != F.col("b"), percent)
+
+
+def _side(rows: DataFrame, reps: DataFrame, name: str, *more: str) -> DataFrame:
+    wide = rows.join(reps.select("doc_id", "ranges"), "doc_id")
+    return wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges", *more]])
+
+
+def _joined(a: DataFrame, b: DataFrame, which: Column, percent: int) -> DataFrame:
+    near = _length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent)
+    return a.join(b, "h").where(which & F.expr("a_c != b_c") & near).select("a", "b")
 
 
 def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -342,12 +355,9 @@ def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     none of these comes from each that it shares.
     """
     first = mixed.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "h"))), 1, FIRST).alias("_first"))
-    about = reps.select("doc_id", "ranges").join(first.select("doc_id", F.col("_first.h").alias("hs")), "doc_id")
-    wide = mixed.join(about, "doc_id")
-    side = lambda name: wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges", "hs"]])
-    pairs = side("a").join(side("b"), "h").where("a < b and a_c != b_c")
-    once = F.expr("coalesce(try_element_at(array_intersect(a_hs, b_hs), 1) = h, true)")
-    return pairs.where(_length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent) & once).select("a", "b").distinct()
+    wide = mixed.join(first.select("doc_id", F.col("_first.h").alias("hs")), "doc_id")
+    once = F.expr("a < b and coalesce(try_element_at(array_intersect(a_hs, b_hs), 1) = h, true)")
+    return _joined(_side(wide, reps, "a", "hs"), _side(wide, reps, "b", "hs"), once, percent)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -372,16 +382,16 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
     dropped(shared)
 
     tried = labels = None
-    for turn in range(LEADERS + 1):
+    for turn in range(len(SOME) + 2):
         mixed = None
         if turn == 0:
-            candidates = _by_leader(postings, percent)
+            candidates = _suffix_filter(_by_leader(postings, percent), reps, percent)
         else:
             mixed = stored(_mixed(postings, labels), "mixed")
             if not mixed.take(1):
                 break
-            candidates = _by_next_leader(mixed, turn, percent) if turn < LEADERS else _across(mixed, reps, percent)
-        pairs = _ordered(_suffix_filter(candidates, reps, percent))
+            candidates = _across(mixed, reps, percent) if turn > len(SOME) else _by_some(mixed, reps, SOME[turn - 1], turn, percent)
+        pairs = _ordered(candidates)
         if turn:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
