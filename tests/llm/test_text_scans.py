@@ -1,9 +1,11 @@
 """Secrets, licences and toxicity."""
 
 import hashlib
+import math
 import random
 import re
 import string
+import time
 
 import duckdb
 import numpy as np
@@ -64,6 +66,85 @@ def test_battery(spark):
     assert len(kept & set(range(60))) >= 57 and not kept & set(range(60, 64))
 
 
+def test_natural_names(spark):
+    """Identifiers, paths and dates are no secrets, with any number of random runs beside them."""
+    names = ["getUserAccountById2FromCache", "testShouldReturn404WhenMissing", "Build2024ReleaseNotesFinal", "https://host/org/Docs/Guide2/Install", "MAX_RETRY_COUNT_2_Default_Value", "2024-05-01T12_00_00Z_report_Final", "userProfilePictureUrl300x300", "convertUtf8ToLatin1WithFallback", "org_apache_spark_sql_functions2", "versionone2versiontwo3"]
+    rng = random.Random(4)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits + "+/", k=k)) for k in (24, 28, 32, 32, 40, 40, 44, 64, 64, 88) for _ in range(6)]
+    for texts in (names, names + keys):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {r["doc_id"] for r in secret_scan.report(secret_scan.scan(docs)).collect() if "random:" in r["spans"]}
+        assert not found & set(range(len(names))), [names[i] for i in found if i < len(names)]
+    assert len(found) >= 0.85 * len(keys)
+
+
+def tail(z):
+    return max(1e-60, math.erfc(z / math.sqrt(2)) / 2)
+
+
+def own_buckets(run):
+    """Both buckets of a mixed-case run in base 64, by other means."""
+    alphabet = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"
+    codes = [alphabet.index(c) for c in run.translate(str.maketrans("-_", "+/"))]
+    n, k = len(codes), 64
+    chi = sum((codes.count(c) - n / k) ** 2 / (n / k) for c in range(k))
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = [2 * c >= k for c in codes]
+    a, b = sum(high), n - sum(high)
+    mean = 2 * a * b / n + 1
+    z_runs = (1 + sum(x != y for x, y in zip(high, high[1:])) - mean) / math.sqrt((mean - 1) * (mean - 2) / (n - 1))
+    m = sum(codes) / n
+    r = sum((x - m) * (y - m) for x, y in zip(codes, codes[1:])) / sum((x - m) ** 2 for x in codes)
+    z_serial = (r + 1 / (n - 1)) * math.sqrt(n)
+    h = -(math.log(tail(z_chi)) + math.log(min(1, 2 * tail(abs(z_runs)))) + math.log(min(1, 2 * tail(abs(z_serial)))))
+    kind = ["U" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else "s" for c in run]
+    changes = sum(x != y for x, y in zip(kind, kind[1:]))
+    letters, vowels = sum(c.isalpha() for c in run), sum(c in "aeiouAEIOU" for c in run)
+    z = (changes - 0.35 * (n - 1)) / math.sqrt((n - 1) * 0.35 * 0.65) * math.sqrt(0.5) + (0.33 * letters - vowels) / math.sqrt(letters * 0.33 * 0.67) * math.sqrt(0.5)
+    return 20 * max(0, h - math.log(1 + h + h * h / 2)) / math.log(10), -20 * math.log10(tail(z))
+
+
+def test_p_values(spark):
+    rng = random.Random(9)
+    runs = ["".join(rng.choices(string.ascii_letters + string.digits + "-_", k=rng.randrange(24, 90))) + "aB3" for _ in range(60)] + ["getUserAccountById2FromCache"]
+    docs = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["r"] for r in secret_scan.annotated(docs).selectExpr("row.doc_id", "runs[0] as r").collect()}
+    for i, run in enumerate(runs):
+        for name, wanted in zip(("bucket", "unnatural"), own_buckets(run)):
+            assert abs(rows[i][name] - wanted) <= 1.05, (run, name)  # whole buckets
+
+
+def masked(text):
+    out, at = [], 0
+    merged = []
+    for a, _, b in base_spans(text):
+        if merged and merged[-1][1] >= a:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    for a, b in merged:
+        out += [text[at:a], secret_scan.MARK]
+        at = b
+    return "".join(out) + text[at:]
+
+
+def test_very_many_secrets(spark):
+    """A hundred thousand matches in one text, and places that overlap and touch over borders of blocks."""
+    many = "".join(f"é token=abc{i:05d} x" if i % 3 else f"password:token:abcdef{i:05d}" for i in range(100_000))
+    none = "word " * 1_000_000
+    docs = spark.createDataFrame([(1, many, "x"), (2, none, "y"), (3, None, "z")], "doc_id long, text string, _secret_text string")
+    began = time.time()
+    rows = {r["doc_id"]: r for r in secret_scan.report(secret_scan.scan(docs)).collect()}
+    wanted = base_spans(many)
+    assert rows[1]["n_assign"] == len(wanted)
+    assert rows[1]["base_sha256"] == hashlib.sha256(",".join(f"assign:{a}:{b}" for a, _, b in wanted).encode()).hexdigest()
+    found = secret_scan.redact(docs)
+    assert found.columns == docs.columns
+    texts = {r["doc_id"]: r for r in found.collect()}
+    assert texts[1]["text"] == masked(many) and texts[2]["text"] == none and texts[3]["text"] is None and texts[3]["_secret_text"] == "z"
+    assert time.time() - began < 120
+
+
 def test_licences(spark):
     mit = KNOWN["MIT"]
     variants = [
