@@ -15,8 +15,12 @@ one record at a time is in memory.
 Skew: equal payloads may be a third of all pages.  Digests are counted and joined with a salt from
 the page, so such a group is spread over all partitions.
 
+Archives are dealt to tasks by an explicit number, up to ``MOST_TASKS``: what is shuffled of them is so little that
+adaptive coalescing would put all in one task.
+
 Defined results: null HTML is an empty payload and null URLs are empty; of rows with equal page_id
-and payload the first written is the response; an empty table gives an empty table.
+and payload the first written is the response; rows with a null page_id are responses, and nothing refers to
+them; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +46,8 @@ from .textbatch import slices
 
 #: Uncompressed bytes after which an archive is closed, and records.
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 64 << 20, 20_000
+#: Tasks that archives are dealt to, at most.
+MOST_TASKS = 1 << 14
 #: Payloads under this are always stored, however often they repeat.
 LEAST_REVISIT = 100
 LEVEL = 4
@@ -54,7 +60,11 @@ READ = "page_id long, payload_bytes long, payload_digest string, record_type str
 # -- records --------------------------------------------------------------------------------------
 
 
-def record(kind: str, page_id: int, url: str, payload: bytes, digest: str, refers_to: int | None = None, n_bytes: int | None = None) -> bytes:
+def _record_id(page_id: int | None, digest: str, kind: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{kind}')}>"
+
+
+def record(kind: str, page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None = None, n_bytes: int | None = None) -> bytes:
     """One WARC record: a response with its payload, or a revisit with the HTTP header alone."""
     n_bytes = len(payload) if n_bytes is None else n_bytes
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % n_bytes
@@ -63,16 +73,16 @@ def record(kind: str, page_id: int, url: str, payload: bytes, digest: str, refer
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{kind}')}>",
+        f"WARC-Record-ID: {_record_id(page_id, digest, kind)}",
         f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~-._')}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha256:{digest}",
-        f"WARC-Page-ID: {page_id}",
+        f"WARC-Page-ID: {'' if page_id is None else page_id}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}:response')}>", f"WARC-Refers-To-Page-ID: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_record_id(refers_to, digest, 'response')}", f"WARC-Refers-To-Page-ID: {refers_to}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -166,7 +176,7 @@ def write_monolithic(pages: DataFrame, folder: str, id_column: str = "page_id",
 def decide_revisits(written: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """Adds refers_to: the page whose record a revisit points to, null for responses."""
     n = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = written.withColumn("_salt", F.when(F.col("payload_bytes") >= least, F.pmod(F.xxhash64("page_id"), F.lit(n))))
+    keyed = written.withColumn("_salt", F.when((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull(), F.pmod(F.xxhash64("page_id"), F.lit(n))))
     place = F.struct("page_id", "archive", "ordinal")
     parts = keyed.where("_salt is not null").groupBy("payload_digest", "_salt").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     groups = parts.groupBy("payload_digest").agg(F.min("first").alias("first"), F.sum("n").alias("n"), F.collect_list("_salt").alias("salts")).where("n > 1")
@@ -175,8 +185,8 @@ def decide_revisits(written: DataFrame, least: int = LEAST_REVISIT) -> DataFrame
     return joined.select(*written.columns, F.when(F.col("first").isNotNull() & (F.col("first") != place), F.col("first.page_id")).alias("refers_to"))
 
 
-def normalise(decided: DataFrame, folder: str) -> DataFrame:
-    """Rewrites each archive with a member per record, and writes its index beside it; returns the index."""
+def normalise(decided: DataFrame, folder: str, archives: int) -> DataFrame:
+    """Rewrites each of so many archives with a member per record, and writes its index beside it; returns the index."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("ordinal")
@@ -185,15 +195,17 @@ def normalise(decided: DataFrame, folder: str) -> DataFrame:
         index, at = [], 0
         with system.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as inflated, _Output(archive) as out:
             stream = io.BufferedReader(inflated, 1 << 20)
-            for ordinal, page_id, refers_to in zip(rows["ordinal"].tolist(), rows["page_id"].tolist(), rows["refers_to"].tolist(), strict=True):
+            for ordinal, page_id, refers_to in zip(*(rows[c].tolist() for c in ("ordinal", "page_id", "refers_to")), strict=True):
                 headers, block = read_record(stream)
-                if int(headers["warc-page-id"]) != page_id:
+                page_id = _number(page_id)
+                if _number(headers["warc-page-id"]) != page_id:
                     raise ValueError(f"{key[0]}: record {ordinal} isn't that of page {page_id}")
                 http, payload = split_block(block)
-                kind = "response" if refers_to is None or refers_to != refers_to else "revisit"
+                refers_to = _number(refers_to)
+                kind = "response" if refers_to is None else "revisit"
                 digest = headers["warc-payload-digest"].removeprefix("sha256:")
                 # the address stands quoted in the record and is quoted no more
-                member = record(kind, page_id, headers["warc-target-uri"], payload, digest, None if kind == "response" else int(refers_to), int(http["content-length"]))
+                member = record(kind, page_id, headers["warc-target-uri"], payload, digest, refers_to, int(http["content-length"]))
                 packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 data = packer.compress(member) + packer.flush()
                 out.write(data)
@@ -204,13 +216,21 @@ def normalise(decided: DataFrame, folder: str) -> DataFrame:
         with _Output(f"{archive}.idx") as side:
             for _, ordinal, page_id, kind, offset, length in index:
                 side.write(json.dumps({"ordinal": ordinal, "page_id": page_id, "type": kind, "offset": offset, "length": length}).encode() + b"\n")
-        return pd.DataFrame(index, columns=["archive", "ordinal", "page_id", "record_type", "offset", "length"])
+        return pd.DataFrame(index, columns=["archive", "ordinal", "page_id", "record_type", "offset", "length"]).astype({"page_id": "Int64"})
+
+    rows = decided.select("archive", "ordinal", *[F.col(c).cast("string").alias(c) for c in ("page_id", "refers_to")])
+    return stored(_dealt(rows, archives).groupBy("archive").applyInPandas(run, INDEX), "warc-index")
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text and text == text else None
+
 
-    rows = decided.select("archive", "ordinal", "page_id", F.col("refers_to").cast("string").alias("refers_to"))
-    return stored(rows.groupBy("archive").applyInPandas(run, INDEX), "warc-index")
+def _dealt(rows: DataFrame, archives: int) -> DataFrame:
+    return rows.repartition(max(1, min(archives, MOST_TASKS)), "archive")
 
 
-def read_archives(index: DataFrame) -> DataFrame:
+def read_archives(index: DataFrame, archives: int) -> DataFrame:
     """Reads every record of the archives in an index back, each by its offset in the sidecar file."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,25 +249,25 @@ def read_archives(index: DataFrame) -> DataFrame:
                         if kind == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != int(http["content-length"])):
                             raise ValueError(f"{archive}: the payload of page {entry['page_id']} isn't what its header says")
                         refers = headers.get("warc-refers-to-page-id")
-                        rows.append((int(headers["warc-page-id"]), int(http["content-length"]), digest, kind, pd.NA if refers is None else int(refers), archive, entry["offset"], entry["length"]))
+                        rows.append((pd.NA if not headers["warc-page-id"] else int(headers["warc-page-id"]), int(http["content-length"]), digest, kind, pd.NA if refers is None else int(refers), archive, entry["offset"], entry["length"]))
                         size += 1
                         if size % 5000 == 0:
                             yield _frame(rows)
                             rows = []
                 yield _frame(rows)
 
-    archives = index.select("archive").distinct()
-    return archives.mapInPandas(run, READ)
+    return _dealt(index.select("archive"), archives).distinct().mapInPandas(run, READ)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length"])
-    return frame.astype({"refers_to": "Int64"})
+    return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
 
 
 def archive_pages(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """The whole path: write, decide, normalise, read back."""
     folder = new_path(pages.sparkSession, "warc")
     written = write_monolithic(pages, f"{folder}/monolithic")
-    index = normalise(decide_revisits(written, least), f"{folder}/members")
-    return read_archives(index)
+    archives = written.select("archive").distinct().count()
+    index = normalise(decide_revisits(written, least), f"{folder}/members", archives)
+    return read_archives(index, archives)
