@@ -12,7 +12,8 @@ and a salt from the document, so a digest that a third of all documents hold is
 all partitions; only digests and numbers are shuffled, payloads never are.
 
 Defined results: null HTML or text counts as empty; references without a stored payload keep
-null features; repeated rows resolve alike; an empty table gives an empty table.
+null features; repeated rows resolve alike; a null doc_id is kept; an empty table gives an empty table;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -95,16 +96,14 @@ def read_media(media: DataFrame) -> DataFrame:
     """Reads stored images back, decodes them and computes what is known of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            images = [x.as_buffer() for x in batch.column("media")]
+        for part in (part for batch in batches for part in slices(batch, "media")):
             rows = []
-            for image in images:
-                image = image.to_pybytes()
+            for image in part.column("media").to_pylist():
                 samples = from_image(image)
                 rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(image), hashlib.sha256(image).hexdigest(), feature_of(samples)))
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            found = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.select(["doc_id", "digest", "n_bytes"]).columns, *found], names=["doc_id", "digest", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            found = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.select(["doc_id", "digest", "n_bytes"]).columns, *found], names=["doc_id", "digest", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
     return media.mapInArrow(run, FEATURES)
 
@@ -209,16 +208,24 @@ def resolve(refs: DataFrame, features: DataFrame, salt_column: str | None = None
     With ``salt_column`` (a document id that both sides have) copies of one digest are told
     apart by a salt: each side keeps its rows of a digest in as many parts as there are
     shuffle partitions, and features are reduced to one row per digest and salt first.
+    Without it features are reduced to a row per digest, by salt and then as a whole, and handed to each salt that
+    the references have of the digest, so that a digest that a third of all references hold is spread as well.
     """
     n = int(refs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(salt_column), F.lit(n)) if salt_column else F.lit(0).cast("long")
-    one = features.withColumn("_salt", salt).groupBy("digest", "_salt").agg(*[F.min(c).alias(c) for c in _FEATURE_COLUMNS])
-    return refs.withColumn("_salt", salt).join(one, ["digest", "_salt"], "left").drop("_salt")
+    least = [F.min(c).alias(c) for c in _FEATURE_COLUMNS]
+    if salt_column:
+        salt = F.pmod(F.xxhash64(salt_column), F.lit(n))
+        one, salted = features.withColumn("_salt", salt).groupBy("digest", "_salt").agg(*least), refs.withColumn("_salt", salt)
+    else:
+        salted = refs.withColumn("_salt", F.pmod(F.xxhash64(*refs.columns), F.lit(n)))
+        whole = features.withColumn("_part", F.pmod(F.xxhash64("payload_sha256", "doc_id"), F.lit(n))).groupBy("digest", "_part").agg(*least).groupBy("digest").agg(*least)
+        one = salted.select("digest", "_salt").distinct().join(whole, "digest")
+    return salted.join(one, ["digest", "_salt"], "left").drop("_salt")
 
 
 def document_pages(media: DataFrame) -> DataFrame:
     """A page for each stored document that shows its media by digest, with a caption."""
-    page = F.concat(F.lit("<article><p>Document "), F.col("doc_id").cast("string"), F.lit('</p><figure><img src="sha256:'), F.col("digest"), F.lit('"><figcaption>'), F.col("n_bytes").cast("string"), F.lit(" bytes</figcaption></figure></article>"))
+    page = F.concat(F.lit("<article><p>Document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit('</p><figure><img src="sha256:'), F.col("digest"), F.lit('"><figcaption>'), F.col("n_bytes").cast("string"), F.lit(" bytes</figcaption></figure></article>"))
     return media.select("doc_id", page.alias("html"))
 
 

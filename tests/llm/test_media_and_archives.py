@@ -9,7 +9,7 @@ import pytest
 from pyarrow import fs
 
 from cladespark.llm import media, warc
-from cladespark.llm.storage import new_path
+from cladespark.storage import new_path
 
 TEXTS = ["", None, "x", "y" * 576, "é" * 400, "z" * 5000, "x", "x"]
 
@@ -64,13 +64,41 @@ def test_repeated_pages(spark):
     assert sorted(r["record_type"] for r in warc.archive_pages(frame).collect()) == ["response", "revisit", "revisit"]
 
 
+def test_rows_without_an_id(spark):
+    frame = spark.createDataFrame([(None, "u", "w" * 150), (None, None, "w" * 150), (4, "u", "w" * 150), (9, "u", "w" * 150), (None, "u", None)], "page_id long, url string, html string")
+    rows = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.archive_pages(frame).collect())
+    assert rows == [(0, "response", None, 0), (0, "response", None, 150), (0, "response", None, 150), (4, "response", None, 150), (9, "revisit", 4, 150)]
+    docs = spark.createDataFrame([(None, "abc"), (None, None), (1, "abc")], "doc_id long, text string")
+    found = sorted((r["doc_id"] or 0, r["n_bytes"], r["caption"]) for r in media.media_of_documents(docs).collect())
+    assert found == [(0, 0, "0 bytes"), (0, 3, "3 bytes"), (1, 3, "3 bytes")]
+
+
+def test_hot_and_missing_digests(spark):
+    """References by digest alone: a digest that most hold, and one that nothing is stored under."""
+    stored = media.read_media(media.store_media(spark.createDataFrame([(1, "abc"), (2, "abc"), (3, "d")], "doc_id long, text string")))
+    hot, cold = (hashlib.sha256(x).hexdigest() for x in (b"abc", b"d"))
+    pages = spark.createDataFrame([(i, f'<img src="sha256:{hot if i % 10 else cold}" alt="{i}"><img src="x">') for i in range(200)], "page_id long, html string")
+    rows = media.resolve(media.references(media.interleave(pages)), stored).collect()
+    assert len(rows) == 400
+    for r in rows:
+        wanted = None if r["position"] else 3 if r["page_id"] % 10 else 1
+        assert r["n_bytes"] == wanted and r["caption"] == (None if r["position"] else str(r["page_id"]))
+
+
+def test_many_archives_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 10)
+    frame = spark.createDataFrame([(i, "u", f"text {i} " * 40) for i in range(200)], "page_id long, url string, html string")
+    found = warc.archive_pages(frame)
+    assert found.rdd.getNumPartitions() >= 20 and found.count() == 200
+
+
 def test_members(spark, monkeypatch):
     """The rewritten files are one member a record, and their index finds each; the first ones are one stream."""
     monkeypatch.setattr(warc, "ARCHIVE_RECORDS", 4)
     frame = spark.createDataFrame([(i, "u", "text %d " % i * 50) for i in range(11)], "page_id long, url string, html string").coalesce(1)
     folder = new_path(spark, "warc-test")
     written = warc.write_monolithic(frame, f"{folder}/a")
-    index = warc.normalise(warc.decide_revisits(written), f"{folder}/b").collect()
+    index = warc.normalise(warc.decide_revisits(written), f"{folder}/b", 3).collect()
     for archive in {r["archive"] for r in index}:
         system, path = fs.FileSystem.from_uri(archive)
         data = system.open_input_stream(path, compression=None).read()
