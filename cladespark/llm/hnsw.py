@@ -7,8 +7,10 @@ bounded number of queries.  In each shard and slice a sample of the queries is a
 an exact scan for the nearest other vectors, whatever their cosine: while the mean of the queries' own
 recalls is under ``RECALL``, the beam is widened, up to ``MOST_BEAM``; if that isn't enough the slice
 scans the shard exactly, in blocks.  A query whose whole beam is linked may have more links than the
-beam holds, so such queries scan the shard exactly too, and give their exact count and a
-spanning set of links instead of all pairs.  Equal vectors are one node with a count.  All cosines that count are verified in double precision.
+beam holds, so such queries scan the shard exactly too.  A query lists its links with a shard if they are fewer than a
+beam holds; one with more gives their exact number and a spanning set of links instead of all pairs.  A listed
+link counts for both its ends, whichever found it.  Equal vectors are one node with a count.  All cosines that count are
+verified in double precision.
 
 Links are joined into components on DataFrames (see ``components``).  A task holds one shard's
 graph and one slice of queries, whatever the input's size.
@@ -26,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import stored
+from ..storage import dropped, stored
 from .components import components
 from .skew import with_group
 
@@ -45,6 +48,9 @@ LAYER_RATIO = 24
 AUDITS, AUDIT_NEAREST, RECALL, LEAST_AUDITED = 64, 10, 0.97, 100
 #: Nodes expanded at once in a beam.
 EXPAND = 3
+#: Kinds of rows that a slice gives.
+LISTED, SPANNING, NUMBER = 0, 1, 2
+FOUND = "kind long, a long, b long, n long, m long, shard long"
 
 
 # -- graphs ---------------------------------------------------------------------------------------
@@ -231,17 +237,18 @@ def _audited_width(layers: list, ids: np.ndarray, unit: np.ndarray, query_ids: n
     return None
 
 
-def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float, copies: np.ndarray | None = None) -> pd.DataFrame:
-    """Rows (a, b, n): links with n = 0, and for each query with links in this shard their number with b null.
+def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray, query_ids: np.ndarray, query_full: np.ndarray, query_unit: np.ndarray, threshold: float, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], dict[int, int]]:
+    """(q, node) of listed links by place, spanning links by id, and the number of links of each query that has more than are listed.
 
     A link with a node of several ``copies`` counts as many.
     """
     n, margin = len(ids), 1e-4
     copies = np.ones(n, np.int64) if copies is None else copies
     width = _audited_width(layers, ids, unit, query_ids, query_unit)
-    count = np.zeros(len(query_ids), np.int64)
     exact = np.ones(len(query_ids), bool)
-    edges = []
+    listed = [np.zeros((2, 0), np.int64)]
+    spanning: list[np.ndarray] = []
+    many: dict[int, int] = {}
     if width is not None:
         near, sims = search(layers, unit, query_unit, width)
         exact = sims[:, -1] >= threshold - margin
@@ -249,9 +256,7 @@ def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray
         q, k = np.nonzero((sims >= threshold - margin) & ~exact[:, None])
         other = near[q, k]
         linked = (_cosine(query_full[q], full[other]) >= threshold) & (query_ids[q] != ids[other])
-        q, other = q[linked], other[linked]
-        np.add.at(count, q, copies[other])
-        edges.append(np.column_stack([query_ids[q], ids[other]]))
+        listed.append(np.stack([q[linked], other[linked]]))
     scanned = np.flatnonzero(exact)
     step = max(16, min(1024, BLOCK_CELLS // n))
     for a in range(0, len(scanned), step):
@@ -263,14 +268,32 @@ def link_slice(layers: list, ids: np.ndarray, full: np.ndarray, unit: np.ndarray
             i, j = np.nonzero(np.abs(rough - threshold) < margin)  # only these need double precision to decide
             block[i, j] = _cosine(query_full[own[i]], full[b + j]) >= threshold
             links[:, b : b + 4096] = block & (query_ids[own][:, None] != ids[None, b : b + 4096])
-        i, j = np.nonzero(links)
-        np.add.at(count, own[i], copies[j])
-        rows, columns = np.unique(i), np.unique(j)
-        edges.append(_spanning(links[np.ix_(rows, columns)], query_ids[own[rows]], ids[columns]))
-    some = np.flatnonzero(count)
-    pairs = np.concatenate([np.zeros((0, 2), np.int64), *edges])
+        full_rows = links.sum(axis=1) >= BEAM
+        i, j = np.nonzero(links & ~full_rows[:, None])
+        listed.append(np.stack([own[i], j]))
+        rest = np.flatnonzero(full_rows)
+        many |= {int(own[r]): int(copies[links[r]].sum()) for r in rest}
+        columns = np.flatnonzero(links[rest].any(axis=0))
+        spanning.append(_spanning(links[np.ix_(rest, columns)], query_ids[own[rest]], ids[columns]))
+    q, other = np.concatenate(listed, axis=1)
+    return q, other, spanning, many
+
+
+def linked_rows(found: tuple, ids: np.ndarray, copies: np.ndarray, query_ids: np.ndarray, query_copies: np.ndarray) -> pd.DataFrame:
+    """Rows (kind, a, b, n, m): listed links with the copies of b and of a, spanning links, and numbers of unlisted links of a."""
+    q, other, spanning, many = found
+    pairs = np.concatenate([np.zeros((0, 2), np.int64), *spanning])
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-    return pd.DataFrame({"a": np.concatenate([pairs[:, 0], query_ids[some]]), "b": pd.array(np.concatenate([pairs[:, 1], np.zeros(len(some), np.int64)]), "Int64"), "n": np.concatenate([np.zeros(len(pairs), np.int64), count[some]])})
+    some = np.array(sorted(many), np.int64)
+    numbers = np.array([many[k] for k in some.tolist()], np.int64)
+    none = lambda x: np.zeros(len(x), np.int64)
+    return pd.DataFrame({
+        "kind": np.repeat([LISTED, SPANNING, NUMBER], [len(q), len(pairs), len(some)]),
+        "a": np.concatenate([query_ids[q], pairs[:, 0], query_ids[some]]),
+        "b": np.concatenate([ids[other], pairs[:, 1], none(some)]),
+        "n": np.concatenate([copies[other], none(pairs), numbers]),
+        "m": np.concatenate([query_copies[q], none(pairs), none(some)]),
+    })
 
 
 def _spanning(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -292,23 +315,36 @@ def packed(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, dims, blobs = [], [], []
-            for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vector").to_pylist(), strict=True):
-                if not vector or any(x is None for x in vector):
-                    continue
-                values = np.array(vector, np.float64)
-                largest = np.abs(values).max()
-                if not np.isfinite(values).all() or not largest:
-                    continue
-                keys.append(key)
-                dims.append(len(values))
-                blobs.append(values.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(dims, pa.int32()), pa.array(blobs, pa.binary())], names=["vec_id", "dim", "blob"])
+            column = batch.column("vector")
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = pc.fill_null(pc.cast(column.flatten(), pa.float64()), float("nan")).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            within = lambda test: np.diff(np.concatenate([[0], np.cumsum(test)])[np.concatenate([[0], ends])])  # noqa: B023, E731
+            kept = np.flatnonzero((sizes > 0) & (within(~np.isfinite(values)) == 0) & (within(values != 0) > 0))
+            blobs = [values[ends[k] - sizes[k] : ends[k]].tobytes() for k in kept]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(kept)), pa.array(sizes[kept].astype(np.int32)), pa.array(blobs, pa.binary())], names=["vec_id", "dim", "blob"])
 
     own = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("vector")).where("vec_id is not null and vector is not null")
     return own.mapInArrow(run, "vec_id long, dim int, blob binary").groupBy("vec_id").agg(F.min(F.struct("dim", "blob")).alias("x")).select("vec_id", "x.dim", "x.blob")
 
 
+def _shard(column: str, shards: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(shards))
+
+
+def link_counts(found: DataFrame, shards: int) -> DataFrame:
+    """(vec_id, n_links): listed links from either end, each once, and the numbers of those that aren't listed.
+
+    Where a vector has a number for a shard, what that shard's vectors list of it is in the number.
+    """
+    listed = found.where(F.col("kind") == LISTED)
+    both = listed.select("a", "b", "n").unionByName(listed.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("m").alias("n")))
+    numbers = found.where(F.col("kind") == NUMBER).select("a", "shard", "n")
+    each = both.groupBy("a", "b").agg(F.max("n").alias("n")).withColumn("shard", _shard("b", shards))
+    each = each.join(numbers.select("a", "shard"), ["a", "shard"], "left_anti").select("a", "n")
+    return each.unionByName(numbers.select("a", "n")).groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str = "vec_id", vector_column: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``."""
     each = with_group(packed(vectors, id_column, vector_column).withColumn("digest", F.sha2("blob", 256)), ["digest"], "vec_id", {"rep": (F.min("vec_id"), "min"), "copies": (F.count("*"), "sum")})
@@ -316,7 +352,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
     own = each.where("vec_id = rep").select("vec_id", "dim", "blob", "copies")
     n = own.count()
     shards, parts = max(LEAST_SHARDS, -(-n // shard_rows)), max(1, -(-n // SLICE_ROWS))
-    own = own.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    own = own.withColumn("shard", _shard("vec_id", shards))
 
     def make(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", ignore_index=True)
@@ -328,22 +364,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_column: str
 
     def ask(key: tuple, graph: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if graph.empty or queries.empty:
-            return pd.DataFrame({"a": pd.array([], "int64"), "b": pd.array([], "Int64"), "n": pd.array([], "int64")})
+            return pd.DataFrame({c.split()[0]: pd.array([], "int64") for c in FOUND.split(", ")})
         ids, copies, full, layers = pickle.loads(graph["graph"].iloc[0])
         full = np.frombuffer(full, np.float64).reshape(len(ids), -1)
         unit = (full / np.linalg.norm(full, axis=1)[:, None]).astype(np.float32)
         layers = [(a.astype(np.int64), b.astype(np.int64)) for a, b in layers]
-        query_full, query_unit = _unit(queries["blob"])
-        return link_slice(layers, ids, full, unit, queries["vec_id"].to_numpy(), query_full, query_unit, threshold, copies)
+        query_ids, (query_full, query_unit) = queries["vec_id"].to_numpy(), _unit(queries["blob"])
+        found = link_slice(layers, ids, full, unit, query_ids, query_full, query_unit, threshold, copies)
+        return linked_rows(found, ids, copies, query_ids, queries["copies"].to_numpy()).assign(shard=key[1])
 
     slices = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("slice")
     spread = graphs.select("dim", "shard", "graph", slices)
-    asked = own.select("vec_id", "dim", "blob", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).alias("slice"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
+    asked = own.select("vec_id", "dim", "blob", "copies", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(parts)).alias("slice"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
     keys = ["dim", "shard", "slice"]
-    found = stored(spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(ask, "a long, b long, n long"), "vector-links")
+    found = stored(spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(ask, FOUND), "vector-links")
+    dropped(graphs)
 
-    labels = components(found.where("n = 0").select("a", "b"))
-    counts = found.where("n > 0").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
+    labels = components(found.where(F.col("kind") != NUMBER).select("a", "b"))
+    counts = link_counts(found, shards)
     reps = own.select(F.col("vec_id").alias("rep"), "copies").join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     reps = reps.select("rep", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     named = each.select("vec_id", "rep").join(reps, "rep")

@@ -138,8 +138,8 @@ def test_audit_without_near_copies():
     queries = rng.normal(size=(300, 24))
     queries[131] = full[650] + 0.01 * rng.normal(size=24)  # the only link, and no audited query
     unit, query_unit = [(x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32) for x in (full, queries)]
-    found = hnsw.link_slice(ring(700), np.arange(700), full, unit, np.arange(1000, 1300), queries, query_unit, 0.95)
-    assert {(r.a, r.b) for r in found[found["n"] == 0].itertuples()} == {(1131, 650)}
+    q, node, spanning, many = hnsw.link_slice(ring(700), np.arange(700), full, unit, np.arange(1000, 1300), queries, query_unit, 0.95)
+    assert list(zip(q, node)) == [(131, 650)] and not many and not sum(map(len, spanning))
 
 
 def test_sealed_off_vectors():
@@ -149,8 +149,37 @@ def test_sealed_off_vectors():
     layers = ring(700)
     layers[0][1][349] = 700  # nothing leads from the first half to the second
     unit, query_unit = [(x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32) for x in (full, queries)]
-    found = hnsw.link_slice(layers, np.arange(700), full, unit, np.arange(1000, 1350), queries, query_unit, 0.95)
-    assert {(r.a, r.b) for r in found[found["n"] == 0].itertuples()} == {(1000 + i, 350 + i) for i in range(350)}
+    q, node, _, _ = hnsw.link_slice(layers, np.arange(700), full, unit, np.arange(1000, 1350), queries, query_unit, 0.95)
+    assert set(zip(q, node)) == {(i, 350 + i) for i in range(350)}
+
+
+def test_links_found_from_one_end(spark):
+    """A listed link counts for both ends; what a vector has as a number isn't counted again."""
+    shards = 4
+    shard = {r["v"]: r["s"] for r in spark.range(20).selectExpr("id as v", f"pmod(xxhash64(id), {shards}) as s").collect()}
+    rows = [(hnsw.LISTED, 1, 2, 1, 3, shard[2]), (hnsw.LISTED, 2, 1, 3, 1, shard[1]), (hnsw.LISTED, 3, 4, 5, 2, shard[4]), (hnsw.SPANNING, 6, 7, 0, 0, shard[7])]
+    rows += [(hnsw.NUMBER, 4, 0, 40, 0, shard[3]), (hnsw.NUMBER, 4, 0, 50, 0, (shard[3] + 1) % shards)]
+    found = hnsw.link_counts(spark.createDataFrame(rows, hnsw.FOUND), shards)
+    assert {r["vec_id"]: r["n_links"] for r in found.collect()} == {1: 1, 2: 3, 3: 5, 4: 90}
+
+
+def test_sparse_links(spark):
+    """One vector in a hundred has a near copy, in several shards: recall and symmetric counts against brute force."""
+    rng = np.random.default_rng(11)
+    full = rng.normal(size=(3000, 32))
+    full[2970:] = full[:30] + 0.05 * rng.normal(size=(30, 32))
+    full[2999] = full[2998]  # a tie
+    unit = full / np.linalg.norm(full, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    wanted = linked.sum(axis=1)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(full)] + [(None, [1.0] * 32)], "vec_id long, embedding array<double>")
+    rows = hnsw.near_duplicates(frame, shard_rows=400).collect()
+    got = np.array([r["n_links"] for r in sorted((r for r in rows if r["vec_id"] is not None), key=lambda r: r["vec_id"])])
+    assert len(rows) == 3001 and (got <= wanted).all() and got.sum() >= 0.9 * wanted.sum()
+    pairs = {(a, b) for a, b in zip(*np.nonzero(linked))}
+    of = {r["vec_id"]: r["component_id"] for r in rows}
+    assert sum(of[a] == of[b] for a, b in pairs) >= 0.9 * len(pairs)
 
 
 def test_many_equal_vectors(spark):
