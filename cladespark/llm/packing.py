@@ -5,7 +5,7 @@ over groups of about ``GROUP_ROWS`` pieces, each of which is packed by best-fit
 decreasing.  Lower bounds from dual feasible functions certify a group's number of bins;
 groups with a gap between the two exchange their documents (they are dealt anew among
 half as many groups) and run best-fit decreasing again; the new packing is taken if it
-needs fewer bins.  Only lengths and keys are shuffled, never texts or ids, and a group's
+needs fewer bins in total.  Only lengths and keys are shuffled, never texts or ids, and a group's
 size doesn't depend on the input's.
 
 Defined results: a null text counts as empty and is one piece with the end id alone;
@@ -39,6 +39,13 @@ PIECES = "doc_id long, copy long, piece int, start long, length long, ids_crc32
 PACKED = PIECES + ", sequence_id long, offset long, bins long, bound long"
 
 
+def merges_by_id(path: str) -> bool:
+    """Whether a vocabulary's merges come in the order of their results' ids."""
+    model = definition(path)["model"]
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    return all(a < b for a, b in zip(merged, merged[1:], strict=False))
+
+
 @lru_cache(maxsize=2)
 def _fast(path: str):
     """The same vocabulary in a faster library, for texts on whose splitting both agree."""
@@ -46,6 +53,8 @@ def _fast(path: str):
 
     of = {c: b for b, c in byte_characters().items()}
     special = special_ids(path)
+    if not merges_by_id(path):
+        raise ValueError(f"{path}: merges aren't in the order of their ids")
     ranks = {bytes(of[c] for c in t): i for t, i in definition(path)["model"]["vocab"].items() if t not in special}
     return tiktoken.Encoding("own", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import stored
+from ..storage import dropped, stored
 from .textbatch import flat_bytes, mix, release, slices, span_hashes, words
 
 #: Labelled rows that a model is learned from, at most.
@@ -271,7 +271,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     rate, constant = _tail([(k, s) for t, k, s in rows if t == 0])
     x = np.array([evidence([(0, 0, v) for v in s], k, rate, constant) for _, k, s in rows])
     logistic = _logistic(np.minimum(x, 200.0), np.array([t for t, _, _ in rows], float))
-    return Model(_weights(table, (0, 1), toxic, clean), rate, constant, logistic)
+    model = Model(_weights(table, (0, 1), toxic, clean), rate, constant, logistic)
+    del table, rows, halves, x
+    release()
+    dropped(training)
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 import string
 import time
+import zlib
 
 import duckdb
 import numpy as np
@@ -217,8 +218,6 @@ def test_toxicity(spark):
     found = toxicity.score(docs, model).collect()
     assert len(found) == len(rows) + len(extra)
     truth = {i: y for i, _, y in rows}
-    import zlib
-
     for r in found:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
@@ -233,6 +232,87 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def tokens_of(text):
+    return re.findall("[a-z\x80-\U0010ffff]+", (text or "").lower())
+
+
+def own_features(word):
+    """(level, string) from the shortest prefix on."""
+    return [(k, word[:n]) for k, n in enumerate(toxicity.PREFIXES) if len(word) >= n] + [(len(toxicity.PREFIXES), word)]
+
+
+def own_weights(rows, keep):
+    """Log-odds by feature from rows (toxic, half, text) of the halves to keep; a deeper one's prior is its deepest known prefix's share."""
+    seen = {h: {f: [sum(1 for t, half, text in rows if half == h and t == y and f in text) for y in (1, 0)] for f in {f for _, half, text in rows if half == h for f in text}} for h in (0, 1)}
+    everywhere = {f: sum(sum(seen[h].get(f, (0, 0))) for h in (0, 1)) for h in (0, 1) for f in seen[h]}
+    n = [sum(1 for t, h, _ in rows if t == y and h in keep) for y in (1, 0)]
+    scale = (n[0] + 1) / (n[1] + 1)
+    share = {}
+    for level, text in sorted(everywhere):
+        toxic, clean = (sum(seen[h].get((level, text), (0, 0))[y] for h in keep) for y in (0, 1))
+        if toxic + clean < toxicity.LEAST_DOCUMENTS:
+            continue
+        prior = 0.5
+        for k in range(level):
+            size = toxicity.PREFIXES[k]
+            if len(text) >= size and (k, text[:size]) in share:
+                prior = share[k, text[:size]]
+        share[level, text] = (toxic + toxicity.PRIOR * prior) / (toxic + clean * scale + toxicity.PRIOR)
+    return {f: math.log(x / (1 - x)) for f, x in share.items()}
+
+
+def own_scores(text, weights):
+    out, before = [], None
+    for word in tokens_of(text):
+        known = [weights[f] for f in own_features(word) if f in weights]
+        out.append((known[-1] if known and word != before else 0.0) - toxicity.DRIFT)
+        before = word
+    return out
+
+
+def own_evidence(scores, rate, constant):
+    each = [rate * sum(scores[a:b]) - math.log(constant * max(1, len(scores))) for a, b, _ in toxicity.maximal_segments(np.array(scores))]
+    return [1.0, min(200.0, max([0.0, *each])), min(200.0, sum(x for x in each if x > 0))]
+
+
+def test_scores_by_brute_force(spark):
+    """Weights, calibration and scores of the whole path, by dictionaries and loops."""
+    rows = corpus(260, 5)
+    texts = {i: t for i, t, _ in rows} | {2000: None, 2001: "vexor", 2002: "Vexor vexor, grumple.", 2003: "ÉTÉ berda tanri grumples"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    half = {r["v"]: r["h"] for r in spark.range(300).selectExpr("id as v", "pmod(xxhash64(id), 2) as h").collect()}
+    training = [(y, half[i], t) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    sets = [(y, h, {f for w in tokens_of(t) for f in own_features(w)}) for y, h, t in training]
+    halves = [own_weights(sets, (h,)) for h in (0, 1)]
+    scored = [(y, own_scores(t, halves[1 - h])) for y, h, t in training]
+    best = [max([0.0, *(float(s[2]) for s in toxicity.maximal_segments(np.array(x)))]) for y, x in scored if y == 0]
+    lengths = [max(1, len(x)) for y, x in scored if y == 0]
+    over = sorted(b for b in best if b > 0)
+    if len(over) < 20:
+        rate, constant = 1.0, 1e-3
+    else:
+        edge = float(np.quantile(over, 0.5))
+        rate = min(5.0, 1 / max(1e-3, float(np.mean([b - edge for b in over if b > edge]))))
+        constant = max(1e-12, sum(b > edge for b in best) / (sum(lengths) * math.exp(-rate * edge)))
+    x = np.array([own_evidence(s, rate, constant) for _, s in scored])
+    y = np.array([t for t, _ in scored], float)
+    w = np.zeros(3)
+    for _ in range(4000):  # Newton steps, cut as the operator's are
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.clip(np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 0.01 * np.eye(3), x.T @ (y - p) - 0.01 * w), -5, 5)
+        w = w + step
+        if np.abs(step).max() < 1e-10:
+            break
+    weights = own_weights(sets, (0, 1))
+    shuffled = docs.unionByName(docs.orderBy("text")).repartition(5)  # repeated rows, another order
+    found = toxicity.score(shuffled, toxicity.fit(docs, labels)).collect()
+    assert len(found) == 2 * len(texts)
+    for r in found:
+        wanted = 1 / (1 + math.exp(-np.clip(w @ own_evidence(own_scores(texts[r["doc_id"]], weights), rate, constant), -30, 30)))
+        assert abs(r["score"] - wanted) < 1e-6, texts[r["doc_id"]]
+
+
 def test_word_spans():
     texts = pa.array(["A b\tC", None, "", "x" * 10, " lead", "tail ", "é à\x0bü"])
     hashes, at = textbatch.word_hashes(texts)

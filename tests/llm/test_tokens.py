@@ -158,3 +158,42 @@ def test_exchange_compares_all_bins(spark, monkeypatch):
     pieces = spark.createDataFrame([(0, 0, 0, 0, 1, 0)], "doc_id long, copy long, piece int, start long, length int, ids_crc32 long")
     found = packing.pack_pieces(pieces, 4, group_rows=1)
     assert found.select("sequence_id").distinct().count() == 6
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_never_gets_worse(spark, seed):
+    """With exchanges a packing has at most the bins it has without, over ties and over lengths that leave gaps."""
+    rng = random.Random(seed)
+    kinds = [lambda: rng.randrange(1, 101), lambda: rng.choice([34, 35, 51, 66]), lambda: 50, lambda: rng.choice([26, 27, 41, 42])]
+    lengths = [kinds[seed % 4]() for _ in range(600)]
+    pieces = spark.createDataFrame([(i, i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+    bins = []
+    for exchanges in (0, 3):
+        rows = packing.pack_pieces(pieces, 100, 60, exchanges).toPandas()
+        assert sorted(rows["doc_id"]) == list(range(600))
+        assert (rows.groupby("sequence_id")["length"].sum() <= 100).all()
+        bins.append(rows["sequence_id"].nunique())
+    assert sum(lengths) / 100 <= bins[1] <= bins[0]
+
+
+def test_very_long_texts(spark):
+    """A text of megabytes, one very long word, and as many empty ones."""
+    rng = random.Random(3)
+    prose = " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randrange(1, 9))) for _ in range(250_000))
+    texts = [prose, "ab" * 60_000, "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own, words = library("byte_bpe_50k.json"), library("word_bpe_49k.json")
+    counted = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(frame).collect()}
+    digests = {r["doc_id"]: r for r in bpe.digest_documents(frame).collect()}
+    pieces = packing.pack_documents(frame).groupBy("doc_id").agg({"length": "sum"}).collect()
+    for i, text in enumerate(texts):
+        n = len(own.encode(text or "", add_special_tokens=False).ids)
+        ids = words.encode(text or "", add_special_tokens=False).ids
+        assert counted[i] == n and {r["doc_id"]: r["sum(length)"] for r in pieces}[i] == n + 1
+        assert digests[i]["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
+def test_merge_order_is_id_order():
+    """The faster library merges by least id, the tokenizer by the order of its merges: both must be the same order."""
+    path = vocabulary_path("byte_bpe_50k.json")
+    assert packing.merges_by_id(path)
