@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
 again as the next stage's ``docs``.  Stages keep the columns of ``documents``; the last returns token
 pieces with their places.  Each stage works on all rows that the one before it kept.
+
+Defined results of every stage: an empty table gives an empty table; columns of any name and null values are kept
+as they are; a null text counts as empty, has no toxic passage, is no near copy and is packed as one end id; a null
+doc_id is kept; repeated rows are near copies of one another, of rows with equal keys any one stays.
 """
 
 from __future__ import annotations
