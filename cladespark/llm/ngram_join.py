@@ -17,8 +17,8 @@ Two documents link when ``100 * intersection >= percent * union`` for their sets
    the length filter, the positional filter and a suffix filter (an upper bound of the overlap from the
    counts of n-grams by hash range), and are verified once, on the whole texts.
 5. Verified links are joined into components.  Buckets that still hold more than one component go on: some of
-   their members, chosen by a hash (about 8, then 64 a bucket), are compared with those of other components;
-   after these turns the members of different components are joined in full under the same
+   their members, chosen by a hash (about 32 a bucket), are compared with those of other components;
+   after this turn the members of different components are joined in full under the same
    filters.  Pairs inside a component need no comparing, so a group of near copies costs its size
    and not its square, even one in which only a tenth of the pairs link; and no link between components is lost.
 
@@ -60,7 +60,7 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 #: Hash ranges of the suffix filter.
 RANGES = 256
 #: After the turn in which buckets are compared with their smallest set: with how many members in each further turn, before all that is left is joined.
-SOME = (8, 64)
+SOME = (32,)
 #: N-grams of a set by which a pair that is met several times is told.
 FIRST = 32
 
@@ -328,24 +328,19 @@ def _mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
     return with_group(named, ["h"], "doc_id", values, "least != most").drop("least", "most")
 
 
-def _by_some(mixed: DataFrame, reps: DataFrame, many: int, turn: int, percent: int) -> DataFrame:
-    """Members against about ``many`` members of their bucket, where the components differ, under all filters as they are joined.
+def _by_some(mixed: DataFrame, many: int, turn: int, percent: int) -> DataFrame:
+    """Members against about ``many`` members of their bucket, where the components differ, under the length and positional filters.
 
     A hash of the document and the turn chooses these, so a bucket needn't be gathered to choose them, and those chosen in one
     bucket are likely to be chosen in others that they are in.
     """
     chosen = mixed.where(F.expr(f"pmod(xxhash64(doc_id, {turn}), 1000003) * size < 1000003D * {many}"))
-    return _joined(_side(chosen, reps, "a"), _side(mixed, reps, "b"), F.col("a") != F.col("b"), percent)
+    near = _length_filter("a_n", "b_n", percent) & _position_filter(percent)
+    return _side(chosen, "a").join(_side(mixed, "b"), "h").where(F.expr("a_c != b_c") & near).select("a", "b").distinct()
 
 
-def _side(rows: DataFrame, reps: DataFrame, name: str, *more: str) -> DataFrame:
-    wide = rows.join(reps.select("doc_id", "ranges"), "doc_id")
-    return wide.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, "ranges", *more]])
-
-
-def _joined(a: DataFrame, b: DataFrame, which: Column, percent: int) -> DataFrame:
-    near = _length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent)
-    return a.join(b, "h").where(which & F.expr("a_c != b_c") & near).select("a", "b")
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    return rows.select("h", F.col("component").alias(f"{name}_c"), *[F.col(c).alias(name if c == "doc_id" else f"{name}_{c}") for c in [*_PLACE, *more]])
 
 
 def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -355,9 +350,11 @@ def _across(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     none of these comes from each that it shares.
     """
     first = mixed.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "h"))), 1, FIRST).alias("_first"))
-    wide = mixed.join(first.select("doc_id", F.col("_first.h").alias("hs")), "doc_id")
-    once = F.expr("a < b and coalesce(try_element_at(array_intersect(a_hs, b_hs), 1) = h, true)")
-    return _joined(_side(wide, reps, "a", "hs"), _side(wide, reps, "b", "hs"), once, percent)
+    about = reps.select("doc_id", "ranges").join(first.select("doc_id", F.col("_first.h").alias("hs")), "doc_id")
+    wide = mixed.join(about, "doc_id")
+    pairs = _side(wide, "a", "ranges", "hs").join(_side(wide, "b", "ranges", "hs"), "h").where("a < b and a_c != b_c")
+    once = F.expr("coalesce(try_element_at(array_intersect(a_hs, b_hs), 1) = h, true)")
+    return pairs.where(_length_filter("a_n", "b_n", percent) & _position_filter(percent) & _ranges_fit(percent) & once).select("a", "b")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -390,7 +387,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "d
             mixed = stored(_mixed(postings, labels), "mixed")
             if not mixed.take(1):
                 break
-            candidates = _across(mixed, reps, percent) if turn > len(SOME) else _by_some(mixed, reps, SOME[turn - 1], turn, percent)
+            candidates = _across(mixed, reps, percent) if turn > len(SOME) else _suffix_filter(_by_some(mixed, SOME[turn - 1], turn, percent), reps, percent)
         pairs = _ordered(candidates)
         if turn:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
