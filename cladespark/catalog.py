@@ -17,8 +17,6 @@ from .storage import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-#: Levels of the lineages that are made of the tables.
-LEVELS = 3
 
 
 def _query(sql: str | None = None, last: str | None = None, extra: dict[str, str] | None = None):
@@ -244,7 +242,7 @@ def insert_size_hist(spark: SparkSession, d: str) -> DataFrame:
 def _tree(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clades, where they lead, and the seeded cells."""
     clades = stored(taxonomy.clade_tree(bridge.taxonomy(spark, d)), "clades")
-    placed = stored(taxonomy.terminals(clades, LEVELS), "placed")
+    placed = stored(taxonomy.terminals(clades), "placed")
     return clades, placed, stored(taxonomy.seeded(bridge.marker_reads(spark, d), bridge.markers(spark, d), placed), "cells")
 
 
@@ -255,7 +253,7 @@ def _used(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _rolled(spark: SparkSession, d: str, min_len: int) -> tuple[DataFrame, DataFrame]:
     clades, used = _used(spark, d)
-    return clades, taxonomy.rolled_up(taxonomy.local_abundance(used, clades), clades, min_len, LEVELS)
+    return clades, taxonomy.rolled_up(taxonomy.local_abundance(used, clades), clades, min_len)
 
 
 @_query("select clade, parent, depth, kingdom, path, n_children, has_sp from clades", "clades")
@@ -265,7 +263,7 @@ def clade_tree(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("select clade, terminal from placed", "placed")
 def marker_placement(spark: SparkSession, d: str) -> DataFrame:
-    return taxonomy.terminals(taxonomy.clade_tree(bridge.taxonomy(spark, d)), LEVELS)
+    return taxonomy.terminals(taxonomy.clade_tree(bridge.taxonomy(spark, d)))
 
 
 @_query("select sample, clade, marker, len, reads from cells", "cells")
@@ -358,13 +356,13 @@ _LENGTHS = {
 @_query("select clade, round(geno_len, 4) as geno_len from lengths", extra=_LENGTHS)
 def mean_genome_length(spark: SparkSession, d: str) -> DataFrame:
     lineages = bridge.taxonomy(spark, d)
-    return taxonomy.genome_lengths(lineages, taxonomy.clade_tree(lineages), LEVELS).select("clade", _r("geno_len", 4))
+    return taxonomy.genome_lengths(lineages, taxonomy.clade_tree(lineages)).select("clade", _r("geno_len", 4))
 
 
 @_query("select r.sample, r.clade, round(r.abundance, 6) as abundance, round(l.geno_len, 4) as geno_len, cast(floor(round(r.abundance * l.geno_len, 6)) as bigint) as est_reads from rolled r join lengths l using (clade)", extra=bridge.rolled_views(2000) | _LENGTHS)
 def read_stats(spark: SparkSession, d: str) -> DataFrame:
     clades, rolled = _rolled(spark, d, 2000)
-    found = reports.with_read_stats(rolled, taxonomy.genome_lengths(bridge.taxonomy(spark, d), clades, LEVELS))
+    found = reports.with_read_stats(rolled, taxonomy.genome_lengths(bridge.taxonomy(spark, d), clades))
     return found.select("sample", "clade", _r("abundance"), _r("geno_len", 4), F.floor(F.round(F.col("abundance") * F.col("geno_len"), 6)).cast("long").alias("est_reads"))
 
 
@@ -374,7 +372,7 @@ _EST = {"species_reads": "select r.sample, r.clade, c.parent, cast(floor(r.abund
 @_query("select sample, clade, est_reads from species_reads union all select sample, parent, cast(sum(est_reads) as bigint) from species_reads group by 1, 2", extra=bridge.rolled_views(2000) | _LENGTHS | _EST)
 def estimated_reads(spark: SparkSession, d: str) -> DataFrame:
     clades, rolled = _rolled(spark, d, 2000)
-    return taxonomy.estimated_reads(rolled, clades, taxonomy.genome_lengths(bridge.taxonomy(spark, d), clades, LEVELS), LEVELS)
+    return taxonomy.estimated_reads(rolled, clades, taxonomy.genome_lengths(bridge.taxonomy(spark, d), clades))
 
 
 @_query("select sample, marker, 1 as present from cells where reads > 0 and reads * 1000 / len::double > 10", "cells")
@@ -418,14 +416,14 @@ def _supplier_profile(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"select sample, taxid, 'species' as rank, abundance from ({_PROFILE}) union all select p.sample, cast(-2000 - n_regionkey as bigint), 'superkingdom', sum(p.abundance) from ({_PROFILE}) p join supplier on s_suppkey = p.taxid join nation on n_nationkey = s_nationkey group by 1, 2, 3")
 def taxon_rollup(spark: SparkSession, d: str) -> DataFrame:
     nodes = _supplier_nodes(spark, d)
-    paths = ncbi.lineages(nodes.where("rank = 'species'").select("taxid"), nodes, 4)
+    paths = ncbi.lineages(nodes.where("rank = 'species'").select("taxid"), nodes)
     return ncbi.rolled_by_rank(_supplier_profile(spark, d), paths)
 
 
 @_query("select s_suppkey as taxid, 0 as step, s_suppkey as ancestor from supplier union all select s_suppkey, 1, cast(-1000 - s_nationkey as bigint) from supplier union all select s_suppkey, 2, cast(-2000 - n_regionkey as bigint) from supplier join nation on n_nationkey = s_nationkey")
 def lineage_to_root(spark: SparkSession, d: str) -> DataFrame:
     nodes = _supplier_nodes(spark, d)
-    return ncbi.lineages(nodes.where("rank = 'species'").select("taxid"), nodes, 4).select("taxid", "step", "ancestor")
+    return ncbi.lineages(nodes.where("rank = 'species'").select("taxid"), nodes).select("taxid", "step", "ancestor")
 
 
 @_query("select lineage, concat(split_part(lineage, '|', 1), '|', split_part(lineage, '|', 2)) as upper, 'strain' as rank, 's' as above from taxonomy", "taxonomy")

@@ -12,13 +12,16 @@ BUILTIN = (0.812093, 49.34331, 8.886807, 6.829778, 0.2642576, -0.005291173, 3.18
 #: Fixed: the model's formula as its files name it.
 FORMULA = "I(p1*exp(-0.5*((readGC-p2)/p3)^2)+p4)+I(p5*readGC)+I(p6*(readGC^2))+I(p7*(readGC^3))+I(p8*log(genomeGC))"
 
+#: Fixed: how its files say that it was fitted.
+CONTROL = "maxiter=50,tol=1e-05,minFactor=1/1024"
+
 
 @dataclass(frozen=True)
 class GcModel:
     """Coefficients for read GC in percent and genome GC as a fraction."""
 
     coefficients: tuple[float, ...] = BUILTIN
-    control: str = "maxiter=50,tol=1e-05,minFactor=1/1024"
+    control: str = CONTROL
     start: tuple[float, ...] = field(default=BUILTIN)
 
 

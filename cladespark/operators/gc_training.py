@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment as al
 from ..functions.gc import BUILTIN, GcModel
+from ..storage import dropped, stored
 
 #: Bases of a window, and N's in it from which it is masked.
 WINDOW, MOST_N = 100, 4
@@ -68,39 +69,80 @@ def training_points(reads: DataFrame, windows: DataFrame, genomes: DataFrame, wi
     return joined.where(mean > 0).select("species", "gc", "genome_gc", (F.col("reads") / F.col("n") / mean).alias("coverage"))
 
 
-def fit(points: DataFrame, start: tuple[float, ...] = BUILTIN, steps: int = 50, tolerance: float = 1e-5) -> GcModel:
-    """Gauss-Newton with step halving from ``start``; the built-in model if it doesn't get better.
+#: Names of the model's coefficients in SQL.
+_P = tuple(f"p{k}" for k in range(8))
+#: The model's slopes by coefficient; gc is the read GC in percent, z its place under the bell, e the bell.
+_SLOPES = ("e", "{p0} * e * z / {p2}", "{p0} * e * z * z / {p2}", "1D", "r", "r * r", "r * r * r", "ln(genome_gc)")
 
-    There are at most 101 points for each species of the reference, so they are a small table.
-    """
-    table = points.where("genome_gc > 0").toPandas()
-    if len(table) < len(start):
-        return GcModel()
-    r, g, y = table["gc"].to_numpy(float), table["genome_gc"].to_numpy(float), table["coverage"].to_numpy(float)
 
-    def value(p: np.ndarray) -> np.ndarray:
-        return p[0] * np.exp(-0.5 * ((r - p[1]) / p[2]) ** 2) + p[3] + p[4] * r + p[5] * r**2 + p[6] * r**3 + p[7] * np.log(g)
+def _modelled(points: DataFrame, p: np.ndarray) -> DataFrame:
+    """Adds r, z, e and what the model leaves of the coverage."""
+    z = points.withColumn("r", F.col("gc").cast("double")).withColumn("z", (F.col("r") - float(p[1])) / float(p[2])).withColumn("e", F.exp(-0.5 * F.col("z") * F.col("z")))
+    value = F.lit(float(p[0])) * F.col("e") + float(p[3]) + float(p[4]) * F.col("r") + float(p[5]) * F.col("r") ** 2 + float(p[6]) * F.col("r") ** 3 + float(p[7]) * F.ln("genome_gc")
+    return z.withColumn("rest", F.col("coverage") - value)
+
 
-    def slopes(p: np.ndarray) -> np.ndarray:
-        z = (r - p[1]) / p[2]
-        bell = np.exp(-0.5 * z**2)
-        return np.column_stack([bell, p[0] * bell * z / p[2], p[0] * bell * z**2 / p[2], np.ones_like(r), r, r**2, r**3, np.log(g)])
+def _normal_equations(points: DataFrame, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """J'J and J'y of one step, summed where the points are: 44 numbers."""
+    names = {name: repr(float(x)) + "D" for name, x in zip(_P, p, strict=True)}
+    slopes = [s.format(**names) for s in _SLOPES]
+    pairs = [(i, j) for i in range(8) for j in range(i, 8)]
+    sums = [F.expr(f"sum(({slopes[i]}) * ({slopes[j]}))").alias(f"a{i}{j}") for i, j in pairs] + [F.expr(f"sum(({slopes[i]}) * rest)").alias(f"b{i}") for i in range(8)]
+    row = _modelled(points, p).agg(*sums).first()
+    square = np.zeros((8, 8))
+    for i, j in pairs:
+        square[i, j] = square[j, i] = row[f"a{i}{j}"]
+    return square, np.array([row[f"b{i}"] for i in range(8)], float)
 
+
+def _losses(points: DataFrame, trials: list[np.ndarray]) -> list[float]:
+    """Sums of squares that are left by several sets of coefficients, in one pass."""
+    rests = points
+    for k, p in enumerate(trials):
+        rests = _modelled(rests, p).withColumnRenamed("rest", f"rest{k}").drop("r", "z", "e")
+    row = rests.agg(*[F.sum(F.col(f"rest{k}") ** 2).alias(f"l{k}") for k in range(len(trials))]).first()
+    return [float("inf") if row[k] is None or row[k] != row[k] else row[k] for k in range(len(trials))]
+
+
+def fit(points: DataFrame, start: tuple[float, ...] = BUILTIN, steps: int = 50, tolerance: float = 1e-5) -> GcModel:
+    """Gauss-Newton with step halving from ``start``; the built-in model if there are too few points.
+
+    Points stay where they are: a step sums the normal equations and then what each halving would leave.
+    """
+    table = stored(points.where("genome_gc > 0 and coverage is not null").select("gc", "genome_gc", "coverage"), "points")
+    if table.count() < len(start):
+        return GcModel()
     p = np.array(start, float)
-    loss = float(((y - value(p)) ** 2).sum())
+    loss = _losses(table, [p])[0]
     for _ in range(steps):
-        step = np.linalg.lstsq(slopes(p), y - value(p), rcond=None)[0]
-        factor = 1.0
-        while factor >= 1 / 1024:
-            trial = p + factor * step
-            new = float(((y - value(trial)) ** 2).sum()) if trial[2] else np.inf
-            if np.isfinite(new) and new <= loss:
+        square, right = _normal_equations(table, p)
+        scale = np.sqrt(np.maximum(np.diag(square), 1e-300))  # cubes of percents beside ones
+        step = np.linalg.lstsq(square / np.outer(scale, scale), right / scale, rcond=1e-13)[0] / scale
+        factors = [0.5**k for k in range(11)]
+        trials = [p + f * step for f in factors]
+        for first in (slice(0, 2), slice(2, 11)):  # whole steps mostly do
+            tried = [t for t in trials[first] if t[2]]
+            better = [(new, t) for new, t in zip(_losses(table, tried), tried, strict=True) if new <= loss]
+            if better:
                 break
-            factor /= 2
-        else:
+        if not better:
             break
+        new, p = better[0]
         done = loss - new <= tolerance * max(loss, 1e-12)
-        p, loss = trial, new
+        loss = new
         if done:
             break
+    dropped(table)
     return GcModel(tuple(float(x) for x in p))
+
+
+def train(alignments: DataFrame, sequences: DataFrame, genomes: DataFrame, window: int = WINDOW, min_identity: float = MIN_IDENTITY) -> tuple[DataFrame, GcModel]:
+    """(points, model) of one training run: windows of the sequences (species, seq), reads on them (rname is the species), points, fit.
+
+    The points can be written (``sinks.reports.write_table``) instead of being fitted elsewhere.
+    """
+    windows = stored(window_gc(sequences, window), "windows")
+    reads = training_reads(alignments, min_identity).withColumn("species", F.col("rname"))
+    points = stored(training_points(reads, windows, genomes, window), "points")
+    dropped(windows)
+    return points, fit(points)

@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RANKS
-
-#: Links from a node to the root, at most.
-MAX_DEPTH = 60
+from ..storage import dropped, stored
 
 
 def current_taxids(frame: DataFrame, merged: DataFrame) -> DataFrame:
@@ -17,24 +15,27 @@ def current_taxids(frame: DataFrame, merged: DataFrame) -> DataFrame:
     return frame.join(table, "taxid", "left").withColumn("taxid", F.coalesce("_new", "taxid")).drop("_new")
 
 
-def lineages(taxids: DataFrame, nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def lineages(taxids: DataFrame, nodes: DataFrame) -> DataFrame:
     """(taxid, step, ancestor, rank) from each taxid (step 0) to the root, the root excluded.
 
-    Steps are joined until no ancestor is left; taxonomies are some tens of levels deep.
+    Steps are joined until no ancestor is left, however deep the taxonomy; each is stored, so none is computed again.
+    Parent links that lead round in a circle are an error.
     """
     links = nodes.select(F.col("taxid").alias("ancestor"), "parent", "rank")
-    current = taxids.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("step")).distinct()
-    out: DataFrame | None = None
-    for step in range(max_depth):
-        level = current.join(links, "ancestor").where("ancestor != parent")
+    current = taxids.select("taxid", F.col("taxid").alias("ancestor")).distinct()
+    most, out, step = None, None, 0
+    while True:
+        level = stored(current.join(links, "ancestor").where("ancestor != parent"), "lineage")
+        if out is not None and not level.take(1):
+            dropped(level)
+            return out
         rows = level.select("taxid", F.lit(step).alias("step"), "ancestor", "rank")
         out = rows if out is None else out.unionByName(rows)
-        current = level.select("taxid", F.col("parent").alias("ancestor"), F.lit(step + 1).alias("step"))
-        if step % 8 == 7:
-            current = current.checkpoint() if taxids.sparkSession.conf.get("spark.checkpoint.dir", None) else current
-            if not current.take(1):
-                break
-    return out
+        current, step = level.select("taxid", F.col("parent").alias("ancestor")), step + 1
+        if step % 64 == 0:
+            most = nodes.count() if most is None else most
+            if step > most:
+                raise ValueError("parent links lead round in a circle")
 
 
 def ranked_lineages(paths: DataFrame, ranks: list[str] | None = None) -> DataFrame:

@@ -14,8 +14,11 @@ from .statistics import clade_statistics
 LEAST_KEPT, DISCARD_SHARE, STRAIN_SHARE = 10, 0.33, 0.7
 #: Bases of markers from which a clade's own statistic counts.
 MIN_MARKER_LEN = 2000
-#: Levels of a lineage.
-LEVELS = 8
+
+
+def levels_of(clades: DataFrame) -> int:
+    """Depth of the deepest clade: one number."""
+    return clades.agg(F.max("depth")).first()[0] or 0
 
 
 def clade_tree(taxonomy: DataFrame) -> DataFrame:
@@ -28,28 +31,28 @@ def clade_tree(taxonomy: DataFrame) -> DataFrame:
     return nodes.join(children, "clade", "left").withColumns({"n_children": F.coalesce("n_children", F.lit(0).cast("long")), "has_sp": F.col("clade").contains("_sp")})
 
 
-def terminals(clades: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """(clade, terminal): where chains of only children lead."""
-    only = clades.where("n_children = 1").select(F.col("clade").alias("terminal"))
-    child = clades.select(F.col("parent").alias("terminal"), F.col("clade").alias("next")).join(only, "terminal", "left_semi")
-    out = clades.select("clade", F.col("clade").alias("terminal"))
-    for _ in range(levels - 1):
-        out = out.join(child, "terminal", "left").select("clade", F.coalesce("next", "terminal").alias("terminal"))
-    return out
+def terminals(clades: DataFrame) -> DataFrame:
+    """(clade, terminal): where chains of only children lead.
+
+    Each round doubles the steps that are taken, so chains as long as the deepest lineage take its logarithm in rounds.
+    """
+    child = clades.where("parent is not null").groupBy("parent").agg(F.min("clade").alias("next"), F.count("*").alias("n")).where("n = 1")
+    hops = clades.select("clade").join(child.select(F.col("parent").alias("clade"), "next"), "clade", "left").select("clade", F.coalesce("next", "clade").alias("terminal"))
+    for _ in range(max(0, levels_of(clades) - 2).bit_length()):
+        on = hops.select(F.col("clade").alias("terminal"), F.col("terminal").alias("next"))
+        hops = stored(hops.join(on, "terminal").select("clade", F.col("next").alias("terminal")), "hops")
+    return hops
 
 
-def seeded(counts: DataFrame, markers: DataFrame, placed: DataFrame, all_samples: bool = False) -> DataFrame:
+def seeded(counts: DataFrame, markers: DataFrame, placed: DataFrame) -> DataFrame:
     """(sample, clade, marker, len, ext, reads): markers with their counts, zeros for those not seen.
 
-    Markers are put at their clade's terminal.  Only clades that a sample has reads in are seeded (a clade without
-    any has abundance 0 and never causes a discard) unless ``all_samples``.
+    Markers are put at their clade's terminal.  Only clades that a sample has reads in are seeded: a clade without
+    any has abundance 0 and never causes a discard.
     """
     own = markers.join(placed, "clade").select("marker", F.col("terminal").alias("clade"), "len", "ext")
     hit = counts.where("reads > 0").join(own.select("marker", "clade"), "marker")
-    if all_samples:
-        cells = hit.select("sample").distinct().withColumn("_one", F.lit(1)).join(own.select("clade").distinct().withColumn("_one", F.lit(1)), "_one").drop("_one")
-    else:
-        cells = hit.select("sample", "clade").distinct()
+    cells = hit.select("sample", "clade").distinct()
     return cells.join(own, "clade").join(counts.select("sample", "marker", "reads"), ["sample", "marker"], "left").withColumn("reads", F.coalesce("reads", F.lit(0)))
 
 
@@ -95,7 +98,7 @@ def local_abundance(used: DataFrame, clades: DataFrame, statistic: str = "tavg_g
     return joined.select("sample", "clade", F.when(gated, 0.0).otherwise(F.col(statistic)).alias("local"), "len_sum", "read_sum")
 
 
-def rolled_up(local: DataFrame, clades: DataFrame, min_len: int = MIN_MARKER_LEN, levels: int = LEVELS) -> DataFrame:
+def rolled_up(local: DataFrame, clades: DataFrame, min_len: int = MIN_MARKER_LEN) -> DataFrame:
     """(sample, clade, depth, abundance, child_sum, unclassified, read_sum) from the leaves up, a level at a time.
 
     Each level is stored, so that no level is computed again for those above it.
@@ -106,7 +109,7 @@ def rolled_up(local: DataFrame, clades: DataFrame, min_len: int = MIN_MARKER_LEN
     about = clades.select("clade", "parent", "depth", "n_children")
     done: list[DataFrame] = []
     below: DataFrame | None = None
-    for depth in range(levels, 0, -1):
+    for depth in range(max(1, levels_of(clades)), 0, -1):
         level = about.where(F.col("depth") == depth)
         own = local.join(level, "clade")
         if below is None:
@@ -152,30 +155,27 @@ def emitted(rolled: DataFrame, clades: DataFrame, level: str = "a", kingdoms: li
     return out.unionByName(left)
 
 
-def genome_lengths(taxonomy: DataFrame, clades: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """(clade, geno_len): given for leaves, the mean of the children above them."""
+def genome_lengths(taxonomy: DataFrame, clades: DataFrame) -> DataFrame:
+    """(clade, geno_len): given for leaves, the mean of the children above them. Each level is stored."""
     given = taxonomy.select(F.element_at(F.split("lineage", r"\|"), -1).alias("clade"), F.col("geno_len").cast("double").alias("given")).groupBy("clade").agg(F.max("given").alias("given"))
-    about = clades.select("clade", "parent", "depth").join(given, "clade", "left")
+    about = stored(clades.select("clade", "parent", "depth").join(given, "clade", "left"), "lengths")
     out, below = None, None
-    for depth in range(levels, 0, -1):
-        level = about.where(F.col("depth") == depth)
-        if below is None:
-            frame = level.withColumn("geno_len", F.col("given"))
-        else:
+    for depth in range(max(1, levels_of(about)), 0, -1):
+        frame = about.where(F.col("depth") == depth).select("clade", "parent", F.col("given").alias("geno_len"))
+        if below is not None:
             means = below.groupBy(F.col("parent").alias("clade")).agg(F.avg("geno_len").alias("mean"))
-            frame = level.join(means, "clade", "left").withColumn("geno_len", F.coalesce("mean", "given"))
-        below = frame.select("clade", "parent", "geno_len")
+            frame = frame.join(means, "clade", "left").select("clade", "parent", F.coalesce("mean", "geno_len").alias("geno_len"))
+        below = stored(frame, "lengths")
         out = below if out is None else out.unionByName(below)
     return out.select("clade", "geno_len")
 
 
-def estimated_reads(rolled: DataFrame, clades: DataFrame, lengths: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """(sample, clade, est_reads): floor(abundance * genome length) for species, the sum of the children above."""
-    frame = rolled.select("sample", "clade", "abundance").join(clades.select("clade", "parent", "depth"), "clade").join(lengths, "clade", "left")
-    whole = frame.where(F.col("clade").startswith("s__")).select("sample", "clade", "parent", "depth", F.floor(F.col("abundance") * F.coalesce("geno_len", F.lit(0.0))).cast("long").alias("est_reads"))
-    out, current = whole, whole
-    for _ in range(levels - 1):
-        sums = current.where("parent is not null").groupBy("sample", F.col("parent").alias("clade")).agg(F.sum("est_reads").alias("est_reads"))
-        current = sums.join(clades.select("clade", "parent", "depth"), "clade").select("sample", "clade", "parent", "depth", "est_reads")
-        out = out.unionByName(current)
-    return out.groupBy("sample", "clade").agg(F.sum("est_reads").alias("est_reads"))
+def estimated_reads(rolled: DataFrame, clades: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(sample, clade, est_reads): floor(abundance * genome length) for species, the sum of the species below above them.
+
+    Sums go up by each species' ancestors, which are the parts of its path, so one shuffle does for all levels.
+    """
+    species = rolled.where(F.col("clade").startswith("s__")).select("sample", "clade", "abundance")
+    own = species.join(lengths, "clade", "left").select("sample", "clade", F.floor(F.col("abundance") * F.coalesce("geno_len", F.lit(0.0))).cast("long").alias("est_reads"))
+    above = clades.where(F.col("clade").startswith("s__")).select("clade", F.explode(F.split("path", r"\|")).alias("ancestor"))
+    return own.join(above, "clade").groupBy("sample", F.col("ancestor").alias("clade")).agg(F.sum("est_reads").alias("est_reads"))

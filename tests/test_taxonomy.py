@@ -106,10 +106,10 @@ def test_tree_against_recursion(spark, seed):
     tree = taxonomy.clade_tree(spark.createDataFrame([(x,) for x in lineages], "lineage string"))
     frame = spark.createDataFrame([(m, c, n, e) for m, (c, n, e) in markers.items()], "marker string, clade string, len int, ext array<string>")
     reads = spark.createDataFrame([("s", m, n) for m, n in counts.items()], "sample string, marker string, reads long")
-    placed = taxonomy.terminals(tree, 4)
+    placed = taxonomy.terminals(tree)
     cells = taxonomy.seeded(reads, frame, placed)
     used = taxonomy.refilled(taxonomy.with_discards(cells, tree, placed), tree)
-    rolled = taxonomy.rolled_up(taxonomy.local_abundance(used, tree), tree, 1500, 4)
+    rolled = taxonomy.rolled_up(taxonomy.local_abundance(used, tree), tree, 1500)
     found = {r["clade"]: (r["abundance"], r["unclassified"]) for r in rolled.collect()}
     for clade, (value, rest) in plain_tree(lineages, markers, counts, min_len=1500).items():
         have = found.get(clade, (0.0, 0.0))
@@ -130,7 +130,7 @@ def test_empty_tree(spark):
     tree = taxonomy.clade_tree(spark.createDataFrame([("k__Bacteria|s__A",)], "lineage string"))
     frame = spark.createDataFrame([("m", "s__A", 100, [])], "marker string, clade string, len int, ext array<string>")
     reads = spark.createDataFrame([], "sample string, marker string, reads long")
-    assert taxonomy.seeded(reads, frame, taxonomy.terminals(tree, 2)).count() == 0
+    assert taxonomy.seeded(reads, frame, taxonomy.terminals(tree)).count() == 0
 
 
 def test_window_gc(spark):
@@ -167,6 +167,57 @@ def test_island_and_sizes(spark):
     assert row["hits"] == 4 and row["mean_distance"] == pytest.approx(sum(wanted) / len(wanted))
 
 
+def test_circular_distance_over_ranges(spark):
+    """Hits in many ranges, at one place and half a circle apart, against pairs."""
+    import random
+
+    rng = random.Random(2)
+    size = 400_000
+    places = [rng.randrange(3 * size) for _ in range(150)] + [7, 7, 7 + size // 2, 65_536, 131_072]
+    hits = spark.createDataFrame([("r", p, size) for p in places] + [("one", 5, 10), ("none", None, 10)], "ref string, place int, size int")
+    rows = {r["ref"]: r for r in gaps.mean_circular_distance(hits, "ref", "place", "size").collect()}
+    folded = [p % size for p in places]
+    wanted = [min(abs(a - b), size - abs(a - b)) for i, a in enumerate(folded) for b in folded[:i]]
+    assert rows["r"]["hits"] == len(places) and rows["r"]["mean_distance"] == pytest.approx(sum(wanted) / len(wanted))
+    assert rows["one"]["mean_distance"] is None and "none" not in rows
+    found = sorted((r["place"], r["gap"]) for r in gaps.position_gaps(hits.where("ref = 'r'"), "ref", "place").collect() if r["gap"] is not None)
+    ordered = sorted(places)
+    assert found == sorted((b, b - a) for a, b in zip(ordered, ordered[1:]))
+
+
+def test_t_test():
+    """p-values from a table of Student's law, and limits that aren't those of the normal law."""
+    t, df = [2.776, 4.604, 2.576, 0.0, 1.0, 63.657, 12.706, 0.2], [4, 4, 100000, 7, 1, 1, 1, 30]
+    wanted = [0.05, 0.01, 0.01, 1.0, 0.5, 0.01, 0.05, 0.8428]
+    assert gaps.t_two_sided(gaps.np.array(t), gaps.np.array(df, float)) == pytest.approx(wanted, abs=2e-4)
+
+
+def test_verdicts(spark):
+    rows = [("few", 4, 9.0, 1.0, 0.0, 900.0), ("many", 6000, 1.0, 1.0, 1.0, 1.0), ("uneven", 5, 20.0, 100.0, 0.0, 900.0), ("even", 5, 120.0, 9000.0, 0.0, 900.0), ("equal", 10, 1.0, 0.0, 0.0, 900.0), ("island", 50, 19.0, 400.0, 0.0, 90.0), ("clustered", 100, 10.0, 25.0, 0.8, 900.0), ("questionable", 100, 10.0, 25.0, 0.7, 499.0)]
+    found = gaps.island_filter(spark.createDataFrame(rows, "reference string, hits long, mean_gap double, var_gap double, close_share double, high double"), spark.createDataFrame([(r[0], 1000) for r in rows], "reference string, genome_len int"))
+    got = {r["reference"]: r["verdict"] for r in found.collect()}
+    assert got == {r[0]: {"many": "keep", "even": "keep", "equal": "keep"}.get(r[0], r[0]) for r in rows}
+
+
+def test_deep_trees(spark):
+    """Lineages of a hundred levels are followed to their ends; a circle of parents is an error."""
+    n = 100
+    lineage = "k__X|" + "|".join(f"c{i}__{i}" for i in range(n))
+    tree = taxonomy.clade_tree(spark.createDataFrame([(lineage, 7.0)], "lineage string, geno_len double"))
+    assert {r["terminal"] for r in taxonomy.terminals(tree).collect()} == {f"c{n - 1}__{n - 1}"}
+    nodes = spark.createDataFrame([(1, 1, "root")] + [(i + 1, i, "clade") for i in range(1, 70)], "taxid long, parent long, rank string")
+    assert ncbi.lineages(spark.createDataFrame([(70,)], "taxid long"), nodes).count() == 69
+    short = "k__Bacteria|a__1|b__1|c__1|d__1|e__1|f__1|g__1|h__1|i__1|j__1"
+    tree = taxonomy.clade_tree(spark.createDataFrame([(short, 7.0)], "lineage string, geno_len double"))
+    lengths = taxonomy.genome_lengths(spark.createDataFrame([(short, 7.0)], "lineage string, geno_len double"), tree)
+    assert {r["geno_len"] for r in lengths.collect()} == {7.0} and lengths.count() == 11
+    local = spark.createDataFrame([("s", "j__1", 2.0, 5000.0, 10.0)], "sample string, clade string, local double, len_sum double, read_sum double")
+    assert {(r["depth"], r["abundance"]) for r in taxonomy.rolled_up(local, tree).collect()} == {(k, 2.0) for k in range(1, 12)}
+    ring = spark.createDataFrame([(1, 2, "x"), (2, 1, "x")], "taxid long, parent long, rank string")
+    with pytest.raises(ValueError):
+        ncbi.lineages(spark.createDataFrame([(1,)], "taxid long"), ring)
+
+
 def test_prefix_match(spark):
     names = spark.createDataFrame([("Bacillus subtilis str 168",), ("Nothing known",)], "name string")
     known = spark.createDataFrame([("Bacillus", 1), ("Bacillus_subtilis", 2), ("Bacillus_subtilis_str_9", 1)], "name string, source int")
