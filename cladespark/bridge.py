@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.counting import filtered
+
 _MISMATCHES = "cast(round(l_discount * 100) as int)"
 ALIGNMENT = {
     "sample": "concat(l_returnflag, l_linestatus)",
@@ -29,8 +31,8 @@ _SPECIES = "concat('s__', replace(p_brand, '#', ''))"
 _STRAIN = "concat('t__', replace(p_brand, '#', ''), '_', p_type)"
 LINEAGE = f"concat({_KINGDOM}, '|', {_SPECIES}, '|', {_STRAIN})"
 MARKER = {"marker": "cast(p_partkey as string)", "clade": f"case when p_partkey % 2 = 1 then {_STRAIN} else {_SPECIES} end", "len": "p_size * 10"}
-#: Reads that are placed on markers; so few that thresholds of clades are met by some and not by others.
-MARKER_READS = "l_quantity > 45"
+#: Records that are placed on markers: those that pass the operators' own filter.
+KEPT_SQL = "(flag & 4) = 0 and (flag & 256) = 0 and mapq > 5"
 
 
 def _select(expressions: dict[str, str]) -> list[str]:
@@ -71,7 +73,7 @@ def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marker_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(MARKER_READS).groupBy(F.expr(ALIGNMENT["sample"]).alias("sample"), F.expr("cast(l_partkey as string)").alias("marker")).agg(F.count("*").alias("reads"))
+    return filtered(alignments(spark, sf_dir)).groupBy("sample", F.col("rname").alias("marker")).agg(F.count("*").alias("reads"))
 
 
 #: The same tables in SQL, by name; each may use those before it.
@@ -83,7 +85,7 @@ VIEWS = {
     "markers": f"""select {MARKER['marker']} as marker, {MARKER['clade']} as clade, {MARKER['len']} as len,
         case when p.p_partkey % 7 = 0 then o.strain end as ext
         from part p left join (select p_partkey - 1 as k, {_STRAIN} as strain from part) o on o.k = p.p_partkey""",
-    "marker_reads": f"select {ALIGNMENT['sample']} as sample, cast(l_partkey as string) as marker, count(*) as reads from lineitem where {MARKER_READS} group by 1, 2",
+    "marker_reads": f"select sample, rname as marker, count(*) as reads from alignments where {KEPT_SQL} group by 1, 2",
     "nodes": """select distinct clade, parent, depth, kingdom, path from (
         select split_part(lineage, '|', 1) as clade, null as parent, 1 as depth, split_part(lineage, '|', 1) as kingdom, split_part(lineage, '|', 1) as path from taxonomy
         union all select split_part(lineage, '|', 2), split_part(lineage, '|', 1), 2, split_part(lineage, '|', 1), concat(split_part(lineage, '|', 1), '|', split_part(lineage, '|', 2)) from taxonomy

@@ -8,14 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import alignment as al
 from ..functions.gc import BUILTIN, gc_weight
 from ..schemas import UNCLASSED, UNKNOWN
-
-#: Rows of a reference table that is broadcast without being asked for; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
-
-
-def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a reference table for broadcasting if it is known to have no more than ``rows`` rows."""
-    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+from ..sizes import small
 
 
 def filtered(alignments: DataFrame, min_mapq: int = 5, min_identity: float | None = None, min_align_len: int | None = None) -> DataFrame:
@@ -73,9 +66,14 @@ def with_relative(counts: DataFrame, value: str = "abundance") -> DataFrame:
     return joined.withColumn("rel_abun", F.when(F.col("_total") > 0, F.col(value) / F.col("_total") * 100).otherwise(F.lit(0.0))).drop("_total")
 
 
-def read_names(frame: DataFrame, cluster: str) -> DataFrame:
-    """(sample, cluster, names): names of the reads counted for a cluster, in order, comma-separated."""
-    return frame.groupBy("sample", F.col(cluster).alias("cluster")).agg(F.array_join(F.sort_array(F.collect_list("qname")), ",").alias("names"))
+def read_names(frame: DataFrame, cluster: str, parts: int = 1) -> DataFrame:
+    """(sample, cluster, part, names): names of the reads counted for a cluster, in order, comma-separated.
+
+    With ``parts`` a cluster's names are dealt to so many lists by a digest of the name, so that a cluster with a large
+    share of all reads is no one row.
+    """
+    part = F.pmod(F.conv(F.substring(F.md5("qname"), 1, 6), 16, 10).cast("int"), F.lit(parts))
+    return frame.groupBy("sample", F.col(cluster).alias("cluster"), part.alias("part")).agg(F.array_join(F.sort_array(F.collect_list("qname")), ",").alias("names"))
 
 
 def sample_ids(frame: DataFrame, order: str) -> DataFrame:

@@ -18,6 +18,18 @@ WINDOW, MOST_N = 100, 4
 MIN_IDENTITY = 0.97
 
 
+def _shares(seq: str | None, window: int) -> np.ndarray:
+    """Percent of G and C of each window, -1 for masked ones."""
+    letters = np.frombuffer((seq or "").upper().encode(), np.uint8)
+    n = max(0, len(letters) - window - 1)
+    at = np.arange(n)
+    gc = np.concatenate([[0], np.cumsum((letters == ord("G")) | (letters == ord("C")))])
+    unknown = np.concatenate([[0], np.cumsum(letters == ord("N"))])
+    share = (100 * (gc[at + window] - gc[at])) // window
+    share[unknown[at + window] - unknown[at] > MOST_N] = -1
+    return share
+
+
 def window_gc(genomes: DataFrame, window: int = WINDOW) -> DataFrame:
     """(species, start, gc): percent of G and C, as a whole number, of each window from the 1-based start; masked windows have -1.
 
@@ -27,22 +39,30 @@ def window_gc(genomes: DataFrame, window: int = WINDOW) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for species, seq in zip(frame["species"], frame["seq"], strict=True):
-                letters = np.frombuffer((seq or "").upper().encode(), np.uint8)
-                n = len(letters) - window - 1
-                if n < 1:
-                    continue
-                gc = np.concatenate([[0], np.cumsum((letters == ord("G")) | (letters == ord("C")))])
-                unknown = np.concatenate([[0], np.cumsum(letters == ord("N"))])
-                at = np.arange(n)
-                share = (100 * (gc[at + window] - gc[at])) // window
-                share[unknown[at + window] - unknown[at] > MOST_N] = -1
-                for a in range(0, n, 1 << 18):
+                share = _shares(seq, window)
+                for a in range(0, len(share), 1 << 18):
                     part = share[a : a + (1 << 18)]
-                    yield pd.DataFrame({"species": species, "start": at[a : a + len(part)] + 1, "gc": part})
+                    yield pd.DataFrame({"species": species, "start": np.arange(a + 1, a + 1 + len(part)), "gc": part})
 
     return genomes.select("species", "seq").mapInPandas(run, "species string, start long, gc int")
 
 
+def window_histogram(genomes: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(species, gc, n) of a genome's windows that aren't masked, counted sequence by sequence: no window is a row."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for species, seq in zip(frame["species"], frame["seq"], strict=True):
+                share = _shares(seq, window)
+                counts = np.bincount(share[share >= 0], minlength=101)
+                some = np.flatnonzero(counts)
+                if len(some):
+                    yield pd.DataFrame({"species": species, "gc": some, "n": counts[some]})
+
+    counted = genomes.select("species", "seq").mapInPandas(run, "species string, gc int, n long")
+    return counted.groupBy("species", "gc").agg(F.sum("n").alias("n"))
+
+
 def gc_histogram(windows: DataFrame) -> DataFrame:
     """(species, gc, n) of windows that aren't masked."""
     return windows.where("gc >= 0").groupBy("species", "gc").agg(F.count("*").alias("n"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import alignment as al
+from ..functions.gc import BUILTIN, gc_weight, pair_weight
 
 
 def _end(flag_test, columns: list[str]):
@@ -70,13 +71,31 @@ def pair_clusters(pairs: DataFrame, level: str = "species", mean: float = 300, t
     A proper pair counts once; so does another pair within one species at the level of species; else
     each end counts that lies near its gene's end. Ends that are alone count nothing.
     """
+    return _counts_of_pairs(pairs, level, mean, tolerance).select("sample", "cluster")
+
+
+def weighted_counts(pairs: DataFrame, level: str = "species", mean: float = 300, tolerance: float = 100, p: tuple[float, ...] = BUILTIN) -> DataFrame:
+    """(sample, cluster, raw_count, recal_count) with GC weights; ends also have read_gc (percent) and genome_gc.
+
+    A pair that counts once is weighted by the mean of its ends' GC, an end that counts by itself by its own.
+    """
+    weights = F.when(F.col("once"), pair_weight(F.col("r1.read_gc"), F.col("r2.read_gc"), F.col("r1.genome_gc"), p))
+    for k in ("r1", "r2"):
+        weights = weights.when(F.col("end") == k, gc_weight(F.col(f"{k}.read_gc"), F.col(f"{k}.genome_gc"), p))
+    counted = _counts_of_pairs(pairs, level, mean, tolerance).withColumn("weight", weights)
+    return counted.groupBy("sample", "cluster").agg(F.count("*").alias("raw_count"), F.sum(F.coalesce("weight", F.lit(0.0))).alias("recal_count"))
+
+
+def _counts_of_pairs(pairs: DataFrame, level: str, mean: float, tolerance: float) -> DataFrame:
+    """The pairs' rows once for each count, with cluster, once (whether the pair counts as one) and end (r1 or r2)."""
     name = "species" if level == "species" else "rname"
     end = lambda e: F.when(al.near_gene_end(F.col(f"{e}.flag"), F.col(f"{e}.pos"), F.col(f"{e}.read_len"), F.col(f"{e}.gene_len"), mean, tolerance), F.col(f"{e}.{name}"))
     once = F.col("proper")
     if level == "species":
         once = once | (F.col("paired") & (F.col("r1.species") == F.col("r2.species")))
-    clusters = F.when(once, F.array(F.col(f"r1.{name}"))).when(F.col("paired"), F.array_compact(F.array(end("r1"), end("r2")))).otherwise(F.array().cast("array<string>"))
-    return pairs.select("sample", F.explode(clusters).alias("cluster"))
+    one = lambda e, cluster: F.struct(F.lit(e).alias("end"), cluster.alias("cluster"))
+    counts = F.when(once, F.array(one("r1", F.col(f"r1.{name}")))).when(F.col("paired"), F.filter(F.array(one("r1", end("r1")), one("r2", end("r2"))), lambda x: x["cluster"].isNotNull()))
+    return pairs.select("*", once.alias("once"), F.explode(counts).alias("c")).select(*pairs.columns, "once", "c.end", "c.cluster")
 
 
 def insert_sizes(pairs: DataFrame) -> DataFrame:

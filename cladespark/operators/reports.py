@@ -28,9 +28,14 @@ def clade_profiles(cells: DataFrame) -> DataFrame:
     return cells.join(seen, ["sample", "clade"], "left_semi").select("sample", "clade", "marker", (F.col("reads") * 1000 / F.col("len")).alias("value"))
 
 
-def strain_tracker(cells: DataFrame, clade: str, threshold: float = 1.0) -> DataFrame:
-    """marker_presence of one clade's markers."""
-    return marker_presence(cells.where(F.col("clade") == clade), threshold)
+def strain_tracker(cells: DataFrame, profile: DataFrame, clade: str, threshold: float = 1.0, least: float = 0.1) -> DataFrame:
+    """(sample, marker, present): 1 or 0 for each marker of clades whose name holds ``clade``.
+
+    Samples in which a clade whose name ends so has less than ``least`` percent (profile: sample, clade, rel_abun) give no rows.
+    """
+    scarce = profile.where(F.col("clade").endswith(clade) & (F.col("rel_abun") < least)).select("sample").distinct()
+    own = cells.where(F.col("clade").contains(clade)).join(scarce, "sample", "left_anti")
+    return own.select("sample", "marker", (F.col("reads") * 1000 / F.col("len") > threshold).cast("int").alias("present"))
 
 
 def with_read_stats(rolled: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -10,6 +10,33 @@ STATISTICS = ("avg_g", "avg_l", "tavg_g", "tavg_l", "wavg_g", "wavg_l", "med")
 QUANTILE = 0.1
 
 
+def gene_trimmed_average(genes: DataFrame, quantile: float = QUANTILE, least_nonzero: float = 0.7) -> DataFrame:
+    """(sample, cluster, raw_count, recal_count, abundance) of a gene catalogue's clusters.
+
+    Rows are genes (sample, cluster, gene, len, reads, weight).  Genes are trimmed at both ends by weight per base (ties by name);
+    what is left gives the counts, and their weight by their bases the abundance.  A cluster whose name begins with t or holds _sp
+    has nothing where fewer than ``least_nonzero`` of its genes have reads. Genes without a length come first.
+    """
+    ranked = genes.selectExpr(
+        "sample", "cluster", "len", "reads", "weight",
+        "count(*) over (partition by sample, cluster) as n",
+        "row_number() over (partition by sample, cluster order by if(len > 0, weight / len, -1D), gene) - 1 as at",
+    )
+    kept = F.expr(f"at >= floor({quantile}D * n) and at < n - floor({quantile}D * n)")
+    sums = ranked.groupBy("sample", "cluster").agg(
+        F.max("n").alias("n"), F.count_if(F.col("reads") > 0).alias("nonzero"),
+        *[F.sum(F.when(kept, F.col(c)).otherwise(F.lit(0))).alias(c) for c in ("len", "reads", "weight")],
+    )
+    strict = F.col("cluster").startswith("t") | F.col("cluster").contains("_sp")
+    nothing = strict & (F.col("nonzero") < F.lit(least_nonzero) * F.col("n"))
+    return sums.select(
+        "sample", "cluster",
+        F.when(nothing, 0).otherwise(F.col("reads")).cast("long").alias("raw_count"),
+        F.when(nothing, 0.0).otherwise(F.col("weight")).cast("double").alias("recal_count"),
+        F.when(nothing | (F.col("len") <= 0), 0.0).otherwise(F.col("weight") / F.col("len")).alias("abundance"),
+    )
+
+
 def clade_statistics(markers: DataFrame, keys: list[str], quantile: float = QUANTILE) -> DataFrame:
     """Adds up the markers (columns marker, len, reads) of each group: n, len_sum, read_sum, nonzero and all statistics.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment as al
 from ..functions.gc import gc_percent, model
-from ..operators import counting, pairs, taxonomy
+from ..operators import align, counting, pairs, taxonomy
 from ..schemas import RANKS
 from ..sinks import reports
-from ..sources import references, sam
+from ..sources import fastq, references, sam
 from .options import Layout, Level, Options, Pipeline, SequencingMode
 
 
@@ -38,12 +39,18 @@ def profile_genes(alignments: DataFrame, genes: DataFrame, genomes: DataFrame |
 
 def profile_pairs(alignments: DataFrame, genes: DataFrame, genomes: DataFrame | None, options: Options) -> DataFrame:
     """The same with pairs counted as one."""
-    columns = ["rname", "flag", "pos", "cigar", "md", "tlen", "species", "gene_len", "read_len"]
+    recalibrated = options.gc_recalibration and genomes is not None
+    columns = ["rname", "flag", "pos", "cigar", "md", "tlen", "species", "gene_len", "read_len"] + (["read_gc", "genome_gc"] if recalibrated else [])
     kept = alignments.where(al.is_mapped(F.col("flag")) & al.is_primary(F.col("flag")) & al.passes_mapq(F.col("mapq"), options.min_mapq))
     named = counting.with_gene(kept, genes).withColumn("read_len", F.length("seq")).withColumn("qname", al.without_mate_suffix(F.col("qname")))
+    if recalibrated:
+        named = counting.with_genome(named, genomes).withColumn("read_gc", gc_percent(F.col("seq")))
     merged = pairs.with_good_ends(pairs.merged(named, columns), options.min_identity, options.min_align_len)
-    clusters = pairs.pair_clusters(merged, options.level.value, options.insert_size)
-    return counting.with_relative(counting.with_abundance(counting.counted(clusters, "cluster"), _lengths(genes, genomes, options.level is Level.SPECIES)))
+    if recalibrated:
+        counts = pairs.weighted_counts(merged, options.level.value, options.insert_size, p=model(options.gc_model).coefficients)
+    else:
+        counts = counting.counted(pairs.pair_clusters(merged, options.level.value, options.insert_size), "cluster")
+    return counting.with_relative(counting.with_abundance(counts, _lengths(genes, genomes, options.level is Level.SPECIES)))
 
 
 def _lengths(genes: DataFrame, genomes: DataFrame | None, by_species: bool) -> DataFrame:
@@ -90,12 +97,44 @@ def with_taxids(profile: DataFrame, lineages: DataFrame, total_reads: DataFrame
     return out.unionByName(rows)
 
 
-def run(spark: SparkSession, options: Options) -> str:
-    """Profiles the files of a SAM list and writes the reports; returns where."""
+def align_reads(spark: SparkSession, options: Options, aligner: align.Aligner) -> DataFrame:
+    """Aligns the reads of a FASTQ list and keeps the SAM lines under ``output/sam``; returns the alignments.
+
+    Beside them, ``output/sam_list`` names the samples' folders. Files are whole rows each, compressed ones included.
+    """
+    samples = fastq.fastq_samples(spark, options.fastq_list)
+    paired = options.mode is SequencingMode.PAIRED
+    paths = [p for r in samples.select("fastq1", "fastq2").collect() for p in r if p]  # as short as the list given
+    reads = fastq.with_samples(fastq.read_fastq(spark, paths, paired), samples)
+    if paired:
+        mated = pairs.mated_reads(reads)
+    else:
+        mated = reads.select("sample_id", "rg", "sm", "read_name", F.col("seq").alias("seq1"), F.col("qual").alias("qual1"), F.lit(None).cast("string").alias("seq2"), F.lit(None).cast("string").alias("qual2"))
+    lines = align.aligned(mated, aligner, options.parts_per_sample)
+    lines.write.mode("overwrite").partitionBy("rg", "sm").text(f"{options.output}/sam")
+    folders = samples.select("rg", "sm", F.concat(F.lit(f"{options.output}/sam/rg="), "rg", F.lit("/sm="), "sm").alias("path"))
+    reports.write_sam_list(folders.distinct(), f"{options.output}/sam_list")
+    kept = spark.read.schema("value string, rg string, sm string").text(f"{options.output}/sam")
+    return sam.parsed_sam(kept.select("value", F.col("sm").alias("sample")))
+
+
+def run(spark: SparkSession, options: Options, aligner: align.Aligner | None = None) -> str:
+    """Profiles the files of a SAM list, or aligns those of a FASTQ list first, and writes the reports; returns where.
+
+    Without an aligner, the program bowtie2 on every machine's path is used.
+    """
     options = options.resolved()
+    if options.fastq_list:
+        alignments = align_reads(spark, options, aligner or align.process_aligner("bowtie2", options.aligner_index or ""))
+        if options.skip_profiling:
+            return options.output
+        return _profiled(spark, alignments, replace(options, output=f"{options.output}/profile"))
     samples = sam.sam_samples(spark, options.sam_list)
     paths = [r["path"] for r in samples.select("path").distinct().collect()]  # a list of files, as short as the list given
-    alignments = sam.with_listed_sample(sam.read_sam(spark, paths), samples)
+    return _profiled(spark, sam.with_listed_sample(sam.read_sam(spark, paths), samples), options)
+
+
+def _profiled(spark: SparkSession, alignments: DataFrame, options: Options) -> str:
     if options.pipeline is Pipeline.COMG:
         genes = references.read_genes(spark, options.reference_matrix)
         genomes = references.read_species_genomes(spark, options.species_genomes) if options.species_genomes else None

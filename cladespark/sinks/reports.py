@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.gc import FORMULA, GcModel
@@ -25,19 +26,39 @@ def formatted(profile: DataFrame, layout: str = "default") -> DataFrame:
     return profile.select("sample", F.concat_ws("\t", *columns).alias("line"))
 
 
-def write_profiles(profile: DataFrame, path: str, layout: str = "default", header: bool = False) -> str:
-    """Writes text under ``path/sample=<name>``; returns the path that was written.
+def write_profiles(profile: DataFrame, path: str, layout: str = "default", header: bool = False, parts: int = 4) -> str:
+    """Writes text under ``path/sample=<name>``, anew; returns the path that was written.
 
-    Rows go to files by sample; a large sample is dealt to several files.
+    A sample's rows are dealt to at most ``parts`` tasks and files, so a sample with most rows doesn't hang on one.
     """
     lines = formatted(profile, layout)
     if header:
         names = profile.select("sample").distinct().select("sample", F.lit("#" + "\t".join(LAYOUTS[layout])).alias("line"))
         lines = names.unionByName(lines)
-    lines.repartition("sample").write.mode("overwrite").partitionBy("sample").text(path)
+    lines.repartition("sample", F.pmod(F.xxhash64("line"), F.lit(parts))).write.mode("overwrite").partitionBy("sample").text(path)
     return path
 
 
+def named_files(spark: SparkSession, path: str, application: str) -> list[str]:
+    """Renames what ``write_profiles`` wrote to one file a sample and part, as readers of such reports look for them.
+
+    ``path/<application>-Profiling-SAMPLE_<sample>.abundance``, with the part's number behind it where there are several.
+    Only names are handled here, one for each file.
+    """
+    place = lambda *parts: spark._jvm.org.apache.hadoop.fs.Path(*parts)
+    files, out = place(path).getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for folder in sorted((s.getPath() for s in files.listStatus(place(path)) if s.isDirectory()), key=lambda p: p.getName()):
+        sample = unquote(folder.getName().partition("=")[2])
+        parts = sorted(p.getPath().getName() for p in files.listStatus(folder) if p.getPath().getName().startswith("part-"))
+        for k, name in enumerate(parts):
+            target = f"{application}-Profiling-SAMPLE_{sample}.abundance" + (f".{k}" if len(parts) > 1 else "")
+            if not files.rename(place(folder, name), place(path, target)):
+                raise OSError(f"{target} can't be written")
+            out.append(f"{path}/{target}")
+        files.delete(folder, True)
+    return out
+
+
 def cami_rows(profile: DataFrame) -> DataFrame:
     """(sample, level, taxpathsn, line) of a CAMI report: six decimals, a # before taxids under 1."""
     sign = F.when(F.expr("try_cast(taxid as double) < 1"), F.lit("#")).otherwise(F.lit(""))

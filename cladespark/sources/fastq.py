@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import NO_SAMPLE
+from ..sizes import small
 
 
 def fastq_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +55,7 @@ def with_samples(reads: DataFrame, samples: DataFrame) -> DataFrame:
     base = lambda c: F.element_at(F.split(c, "/"), -1)
     one = samples.select("sample_id", "rg", "sm", base(F.col("fastq1")).alias("_base"), F.lit(1).alias("_mate"))
     two = samples.where("fastq2 is not null").select("sample_id", "rg", "sm", base(F.col("fastq2")).alias("_base"), F.lit(2).alias("_mate"))
-    joined = reads.withColumn("_base", base(F.col("file"))).join(F.broadcast(one.unionByName(two)), "_base", "left")
+    joined = reads.withColumn("_base", base(F.col("file"))).join(small(one.unionByName(two)), "_base", "left")
     stem = F.regexp_replace("_base", r"\.(fastq|fq)(\.gz)?$", "")
     return joined.select(F.coalesce("sample_id", F.lit(-1)).alias("sample_id"), F.coalesce("rg", F.when(F.col("mate").isNull(), stem).otherwise(F.lit(NO_SAMPLE))).alias("rg"), F.coalesce("sm", F.when(F.col("mate").isNull(), stem).otherwise(F.lit(NO_SAMPLE))).alias("sm"), "read_name", F.coalesce("mate", "_mate").alias("mate"), "seq", "qual")
 
@@ -66,6 +67,16 @@ def by_line_number(lines: DataFrame) -> DataFrame:
     return records.where("n = 4 and startswith(head, '@') and startswith(plus, '+')").select("rec_no", F.expr("substring(head, 2)").alias("name"), "seq", "qual")
 
 
+def joined_by_record(first: DataFrame, second: DataFrame, ordered: bool = False) -> DataFrame:
+    """(rec_no, name, seq1, qual1, seq2, qual2): mates of two numbered files by their record number, in this order if asked for.
+
+    A record that one file lacks goes; the name is the first file's.
+    """
+    two = second.select("rec_no", F.col("seq").alias("seq2"), F.col("qual").alias("qual2"))
+    both = first.select("rec_no", "name", F.col("seq").alias("seq1"), F.col("qual").alias("qual1")).join(two, "rec_no")
+    return both.orderBy("rec_no") if ordered else both
+
+
 class _Range(InputPartition):
     def __init__(self, path: str, start: int, stop: int) -> None:
         self.path, self.start, self.stop = path, start, stop

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import bz2
 import json
+import pickle
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +58,8 @@ def read_excluded(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(name, header, seq): name is the header's first word."""
-    rows = spark.read.text(path, lineSep=">").where(F.trim("value") != "")
+    # a record ends where a line begins with >, so one inside a header doesn't end it
+    rows = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", "^>", "").alias("value")).where(F.trim("value") != "")
     header = F.regexp_replace(F.split("value", "\n", 2)[0], "\r", "")
     body = F.regexp_replace(F.coalesce(F.expr("try_element_at(split(value, '\\n', 2), 2)"), F.lit("")), r"\s", "")
     return rows.select(F.split(header, r"\s")[0].alias("name"), header.alias("header"), body.alias("seq"))
@@ -116,6 +119,25 @@ def parsed_accessions(text: DataFrame) -> DataFrame:
     return text.select(F.explode(pairs).alias("p")).select("p.accession", F.col("p.taxid").cast("long").alias("taxid"))
 
 
+def database_tables(content: bytes, version: str = "2018", names: dict[str, str] | None = None) -> tuple[str, str]:
+    """(markers, taxonomy) as JSON texts of a marker database: a bzip2-packed pickle of trusted origin.
+
+    Version 2018 renames markers by ``names`` (a marker without a new name is an error) and has genome lengths as taxonomy
+    values; 0000 is the same without renaming; 2019 has pairs of taxids and lengths.
+    """
+    found = pickle.loads(bz2.decompress(content))
+    markers, taxonomy = found["markers"], found["taxonomy"]
+    if version == "2018" and names is not None:
+        markers = {names[k]: v for k, v in markers.items()}
+    elif version not in ("2018", "0000", "2019"):
+        raise ValueError(f"no such database version: {version}")
+    if version == "2019":
+        entries = {k: {"taxid": v[0], "genoLen": v[1]} for k, v in taxonomy.items()}
+    else:
+        entries = {k: {"genoLen": v} for k, v in taxonomy.items()}
+    return marker_json(markers), marker_json(entries)
+
+
 def marker_json(database: dict) -> str:
     """JSON of a marker database as scripts hold it (sets become sorted lists); for converting one once."""
 

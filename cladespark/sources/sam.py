@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import alignment as al
+from ..sizes import small
 
 _FIELDS = {"qname": "string", "flag": "int", "rname": "string", "pos": "int", "mapq": "int", "cigar": "string", "rnext": "string", "pnext": "int", "tlen": "int", "seq": "string", "qual": "string"}
 
@@ -49,14 +50,14 @@ def sam_samples(spark: SparkSession, path: str) -> DataFrame:
     named = rows.select(F.col("_f")[0].alias("rg"), F.col("_f")[1].alias("sm"), F.col("_f")[2].alias("path"), "line")
     first = named.groupBy("sm").agg(F.min("line").alias("first"))
     ids = first.select("sm", F.expr("cast(row_number() over (order by first) - 1 as int)").alias("sample_id"))
-    return named.drop("line").join(F.broadcast(ids), "sm").select("rg", "sm", "path", "sample_id")
+    return named.drop("line").join(small(ids), "sm").select("rg", "sm", "path", "sample_id")
 
 
 def with_listed_sample(alignments: DataFrame, samples: DataFrame) -> DataFrame:
     """Samples by file name (its last part, exactly) instead of read group; files that aren't listed go."""
     base = lambda c: F.element_at(F.split(c, "/"), -1)
     table = samples.select(base(F.col("path")).alias("_base"), F.col("sm").alias("_sm"), "sample_id")
-    return alignments.withColumn("_base", base(F.col("file"))).join(F.broadcast(table), "_base").withColumn("sample", F.col("_sm")).drop("_base", "_sm")
+    return alignments.withColumn("_base", base(F.col("file"))).join(small(table), "_base").withColumn("sample", F.col("_sm")).drop("_base", "_sm")
 
 
 def dictionary(genes: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cladespark.functions import alignment as al
 from cladespark.functions import gc, lineage
 from cladespark.operators import align, counting, pairs
+from cladespark.plans import profile
 from cladespark.plans.options import Layout, Level, Options, Pipeline, SequencingMode, parse
 from cladespark.sinks import reports
 from cladespark.sources import fastq, references, sam
@@ -131,8 +132,8 @@ def test_references(spark, tmp_path):
 
 
 def test_profile_files(spark, tmp_path):
-    profile = spark.createDataFrame([("s1", "c1", 60.0), ("s1", "c2", 40.0), ("s2", "c1", 100.0)], "sample string, cluster string, rel_abun double")
-    path = reports.write_profiles(profile, str(tmp_path / "out"))
+    rows = spark.createDataFrame([("s1", "c1", 60.0), ("s1", "c2", 40.0), ("s2", "c1", 100.0)], "sample string, cluster string, rel_abun double")
+    path = reports.write_profiles(rows, str(tmp_path / "out"))
     rows = spark.read.text(path).select("value", "sample").collect()
     assert {(r["sample"], r["value"]) for r in rows} == {("s1", "c1\t60.0"), ("s1", "c2\t40.0"), ("s2", "c1\t100.0")}
 
@@ -149,13 +150,75 @@ def test_options():
 def test_aligner(spark):
     assert align.aligner_arguments("-N 1 -x own --rg-id=q --very-fast -p 9", "idx", "r.tab5", "o.sam", "g", "s") == ["-N", "1", "--very-fast", "-x", "idx", "-p", "1", "--no-hd", "--rg-id", "g", "--rg", "SM:s", "--tab5", "r.tab5", "-S", "o.sam"]
     reads = spark.createDataFrame([(0, "g", "s", f"r{i}", "ACGT", "IIII", None, None) for i in range(5)], "sample_id int, rg string, sm string, read_name string, seq1 string, qual1 string, seq2 string, qual2 string")
-    lines = align.aligned(reads, lambda rows: (f"{r[0]}\t{r[1]}" for r in rows)).collect()
+    lines = align.aligned(reads, lambda rows, rg, sm: (f"{r[0]}\t{r[1]}" for r in rows)).collect()
     assert {r["line"] for r in lines} == {f"r{i}\tACGT" for i in range(5)}
     gene = "ACGTACCGTTAGGCTAACGGATCCATTG"
     hits = align.seed_alignments(spark.createDataFrame([("r", gene[5:25])], "read_name string, seq string"), spark.createDataFrame([("g", gene), ("h", "T" * 40)], "gene string, seq string"), 12).collect()
     assert [(r["gene"], r["pos"]) for r in hits] == [("g", 6)]
 
 
+def test_fastq_run(spark, tmp_path):
+    """From a FASTQ list by a program that reads tab5 rows to reports, for one paired and one single sample list."""
+    program = tmp_path / "aligner"
+    program.write_text("""#!/usr/bin/env python3
+import sys
+rg = sys.argv[sys.argv.index("--rg-id") + 1]
+print("@HD")
+for row in sys.stdin:
+    name, *rest = row.rstrip("\\n").split("\\t")
+    for k in range(0, len(rest), 2):
+        flag = 0 if len(rest) == 2 else 1 + 2 + (64 if k == 0 else 128)
+        print("\\t".join([name, str(flag), "g1" if rest[k].startswith("A") else "g2", "5", "30", "4M", "*", "0", "0", rest[k], "*", "MD:Z:4", "RG:Z:" + rg]))
+""")
+    program.chmod(0o755)
+    files = [tmp_path / f"x{k}.fq" for k in (1, 2)]
+    for k, file in enumerate(files):
+        file.write_text("".join(f"@r{i}/{k + 1}\n{'ACGT' if i % 3 else 'CCGT'}\n+\nIIII\n" for i in range(9)))
+    (tmp_path / "list").write_text(f"rg1\tsample1\t{files[0]}\t{files[1]}\n")
+    (tmp_path / "genes").write_text("1\tg1\t100\ts__a\t0.5\n2\tg2\t50\ts__b\t0.5\n")
+    (tmp_path / "genomes").write_text("s__a\t100\t0.5\ns__b\t100\t0.4\n")
+    own = align.process_aligner(str(program), "index")
+    options = Options(output=str(tmp_path / "out"), fastq_list=str(tmp_path / "list"), reference_matrix=str(tmp_path / "genes"), species_genomes=str(tmp_path / "genomes"), min_align_len=4, parts_per_sample=2, aligner_index="index")
+    where = profile.run(spark, options, own)
+    rows = {tuple(r["value"].split("\t")) for r in spark.read.text(where).collect()}
+    assert {(c, round(float(x), 6)) for c, x in rows} == {("s__a", round(600 / 9, 6)), ("s__b", round(300 / 9, 6))}
+    assert spark.read.text(f"{tmp_path}/out/sam_list").first()["value"].split("\t")[:2] == ["rg1", "sample1"]
+    names = reports.named_files(spark, where, "app")
+    assert names and all("/app-Profiling-SAMPLE_sample1.abundance" in n for n in names) and spark.read.text(names).count() == 2
+    single = Options(output=str(tmp_path / "one"), fastq_list=str(tmp_path / "list"), reference_matrix=str(tmp_path / "genes"), species_genomes=str(tmp_path / "genomes"), min_align_len=4, mode=SequencingMode.SINGLE, skip_profiling=True)
+    assert profile.run(spark, single, own) == f"{tmp_path}/one" and spark.read.text(f"{tmp_path}/one/sam").count() == 18
+    with pytest.raises(Exception, match="ended with"):
+        list(align.process_aligner("false", "i")([("r", "A", "I", None, None)], "g", "s"))
+
+
+def test_recalibrated_pairs(spark):
+    lines = [line(f"p{i}", 1 | 2 | k, "g1", seq="GGCC" if k == 64 else "ATAT") for i in range(3) for k in (64, 128)]
+    genes = spark.createDataFrame([("g1", 100, "s__a", 0.5)], "gene string, length int, species string, gc double")
+    genomes = spark.createDataFrame([("s__a", 1000, 0.5)], "species string, genome_len int, genome_gc double")
+    options = Options(output="o", gc_recalibration=True, min_align_len=10)
+    row = profile.profile_pairs(parsed(spark, lines), genes, genomes, options).first()
+    weight = spark.range(1).select(gc.gc_weight(F.lit(50.0), F.lit(0.5))).first()[0]
+    assert row["raw_count"] == 3 and row["recal_count"] == pytest.approx(3 * weight)
+    plain = profile.profile_pairs(parsed(spark, lines), genes, genomes, Options(output="o", min_align_len=10)).first()
+    assert plain["recal_count"] == 3.0
+
+
+def test_database_versions():
+    import bz2
+    import json
+    import pickle
+
+    pack = lambda taxonomy: bz2.compress(pickle.dumps({"markers": {"m1": {"clade": "s__a", "ext": {"b", "a"}, "len": 5}}, "taxonomy": taxonomy}))
+    markers, taxonomy = references.database_tables(pack({"k__x": 7}), "2018", {"m1": "new"})
+    assert json.loads(markers) == {"new": {"clade": "s__a", "ext": ["a", "b"], "len": 5}} and json.loads(taxonomy) == {"k__x": {"genoLen": 7}}
+    assert json.loads(references.database_tables(pack({"k__x": 7}), "0000")[0]).keys() == {"m1"}
+    assert json.loads(references.database_tables(pack({"k__x": ("2", 7)}), "2019")[1]) == {"k__x": {"taxid": "2", "genoLen": 7}}
+    with pytest.raises(ValueError):
+        references.database_tables(pack({}), "1999")
+    with pytest.raises(KeyError):
+        references.database_tables(pack({}), "2018", {})
+
+
 def test_names(spark):
     row = spark.range(1).select(lineage.clean_species(F.lit("Bacillus subtilis (old)")), lineage.without_version(F.lit("AB.12")), lineage.assembly_accession(F.lit("x/GCF_0001.2_y")), lineage.rank_level(F.lit("genus")), lineage.next_letter(F.lit("g")), F.size(lineage.padded_taxids(F.array(F.lit("1"))))).first()
     assert tuple(row) == ("Bacillus_subtilis", "AB", "GCF_0001.2", 5, "s", 8)
