@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import bridge
 from .functions import alignment as al
 from .functions import gc, lineage
-from .operators import counting, evaluate, gaps, ncbi, pairs, prep, reports, statistics, taxonomy
+from .operators import counting, evaluate, gaps, gc_training, ncbi, pairs, prep, reports, statistics, taxonomy
 from .sinks import reports as sinks
 from .sources import fastq, references, sam
 from .storage import stored
@@ -67,12 +67,11 @@ def max_match_run(spark: SparkSession, d: str) -> DataFrame:
     return bridge.alignments(spark, d).select("sample", "qname", "rname", run(False).alias("run"), run(True).alias("run_xeq"))
 
 
-@_query("select sample, qname, rname, pos from alignments join genes on gene = rname where case when (flag & 16) > 0 then pos < 40 - read_len + 10 + 100 else length > 0 and length - pos < 40 + 100 end", "genes")
+@_query("select sample, qname, rname, pos from alignments join genes on gene = rname where case when (flag & 16) > 0 then pos < 40 - read_len + 100 else length > 0 and length - pos < 40 + 100 end", "genes")
 def insert_size_overhang(spark: SparkSession, d: str) -> DataFrame:
     named = counting.with_gene(bridge.alignments(spark, d), bridge.genes(spark, d))
     near = al.near_gene_end(F.col("flag"), F.col("pos"), F.col("read_len"), F.col("gene_len"), 40, 100)
-    reverse = al.has(F.col("flag"), al.REVERSE) & (F.col("pos") < 40 - F.col("read_len") + 110)
-    return named.where(F.when(al.has(F.col("flag"), al.REVERSE), reverse).otherwise(near)).select("sample", "qname", "rname", "pos")
+    return named.where(near).select("sample", "qname", "rname", "pos")
 
 
 _SPAN_REF = "(cast(" + _DIGITS.format("{0}.cigar", "([0-9]+)[M=XDN]") + " as bigint))"
@@ -196,9 +195,9 @@ def gc_weighted_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.select("sample", "cluster", "raw_count", _r("recal_count", 4))
 
 
-@_query(_genes_sql("select sample, species as cluster, string_agg(qname, ',' order by qname) as names from named where cast(rname as bigint) % 50 = 0 group by 1, 2"))
+@_query(_genes_sql("select sample, species as cluster, string_agg(qname, ',' order by qname) as names from named group by 1, 2"))
 def read_names(spark: SparkSession, d: str) -> DataFrame:
-    return counting.read_names(_named(spark, d).where("cast(rname as bigint) % 50 = 0"), "species")
+    return counting.read_names(_named(spark, d), "species").drop("part")
 
 
 # -- pairs -----------------------------------------------------------------------------------------
@@ -359,11 +358,11 @@ def mean_genome_length(spark: SparkSession, d: str) -> DataFrame:
     return taxonomy.genome_lengths(lineages, taxonomy.clade_tree(lineages)).select("clade", _r("geno_len", 4))
 
 
-@_query("select r.sample, r.clade, round(r.abundance, 6) as abundance, round(l.geno_len, 4) as geno_len, cast(floor(round(r.abundance * l.geno_len, 6)) as bigint) as est_reads from rolled r join lengths l using (clade)", extra=bridge.rolled_views(2000) | _LENGTHS)
+@_query("select r.sample, r.clade, round(r.abundance, 6) as abundance, round(l.geno_len, 4) as geno_len, cast(floor(r.abundance * l.geno_len) as bigint) as est_reads from rolled r join lengths l using (clade)", extra=bridge.rolled_views(2000) | _LENGTHS)
 def read_stats(spark: SparkSession, d: str) -> DataFrame:
     clades, rolled = _rolled(spark, d, 2000)
     found = reports.with_read_stats(rolled, taxonomy.genome_lengths(bridge.taxonomy(spark, d), clades))
-    return found.select("sample", "clade", _r("abundance"), _r("geno_len", 4), F.floor(F.round(F.col("abundance") * F.col("geno_len"), 6)).cast("long").alias("est_reads"))
+    return found.select("sample", "clade", _r("abundance"), _r("geno_len", 4), "est_reads")
 
 
 _EST = {"species_reads": "select r.sample, r.clade, c.parent, cast(floor(r.abundance * l.geno_len) as bigint) as est_reads from rolled r join lengths l using (clade) join clades c using (clade) where c.depth = 2"}
@@ -560,11 +559,16 @@ def gap_statistics(spark: SparkSession, d: str) -> DataFrame:
     return found.select("user_id", "hits", _r("mean_gap", 4), _r("var_gap", 2), "span")
 
 
-@_query("select lang, cast(floor(length(regexp_replace(text, '[^GCgc]', '', 'g')) * 100.0::double / length(text)) as int) as gc, count(*) as n from documents where length(text) > 0 group by 1, 2")
+_LETTERS = "translate(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''{}), 'nN', 'aA')"
+
+
+@_query(f"""with s as (select doc_id, lang, {_LETTERS.format(", 'g'")} as seq from documents), c as (select doc_id, lang, length(seq) as size, unnest(range(1, length(seq) + 1)) as i, seq from s),
+    w as (select lang, i, size, sum(case when substr(seq, i, 1) in ('G', 'C', 'g', 'c') then 1 else 0 end) over (partition by doc_id order by i rows between current row and 99 following) as gc from c)
+    select lang as species, cast(gc as int) as gc, count(*) as n from w where i < size - 100 group by 1, 2""")
 def gc_histogram(spark: SparkSession, d: str) -> DataFrame:
-    own = bridge.table(spark, d, "documents").where("length(text) > 0")
-    percent = F.floor(F.length(F.regexp_replace("text", "[^GCgc]", "")) * 100.0 / F.length("text")).cast("int")
-    return own.groupBy("lang", percent.alias("gc")).agg(F.count("*").alias("n"))
+    """Windows of 100 over the letters of all texts, N's taken for A's."""
+    own = bridge.table(spark, d, "documents").select(F.col("lang").alias("species"), F.expr(_LETTERS.format("")).alias("seq"))
+    return gc_training.window_histogram(own)
 
 
 @_query("select lang as name, cast(sum(length(text)) as bigint) as length, round(sum(length(regexp_replace(text, '[^GCgc]', '', 'g'))) / sum(length(text))::double, 6) as gc from documents group by lang")
