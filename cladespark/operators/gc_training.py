@@ -52,12 +52,12 @@ def window_histogram(genomes: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            sums: dict[str, np.ndarray] = {}
             for species, seq in zip(frame["species"], frame["seq"], strict=True):
                 share = _shares(seq, window)
-                counts = np.bincount(share[share >= 0], minlength=101)
-                some = np.flatnonzero(counts)
-                if len(some):
-                    yield pd.DataFrame({"species": species, "gc": some, "n": counts[some]})
+                sums[species] = sums.get(species, 0) + np.bincount(share[share >= 0], minlength=101)
+            found = [(species, np.flatnonzero(n), n[n > 0]) for species, n in sums.items()]
+            yield pd.DataFrame({"species": np.repeat([x[0] for x in found], [len(x[1]) for x in found]), "gc": np.concatenate([np.zeros(0, np.int64), *(x[1] for x in found)]), "n": np.concatenate([np.zeros(0, np.int64), *(x[2] for x in found)])})
 
     counted = genomes.select("species", "seq").mapInPandas(run, "species string, gc int, n long")
     return counted.groupBy("species", "gc").agg(F.sum("n").alias("n"))
