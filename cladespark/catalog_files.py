@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bridge
-from .catalog import _KEPT_SQL, _MATCHED, _SPAN, _genes_sql, _named, _query, _r, _rolled, _supplier_nodes, _supplier_profile, _tree
+from .catalog import _EMITTED, _KEPT_SQL, _MATCHED, _SPAN, _genes_sql, _named, _query, _r, _rolled, _supplier_nodes, _supplier_profile, _tree
 from .functions import alignment as al
 from .functions import gc, lineage
 from .operators import align, counting, evaluate, gaps, gc_training, pairs, prep, reports, statistics, taxonomy
@@ -485,6 +485,20 @@ def reads_per_megabase(spark: SparkSession, d: str) -> DataFrame:
 
 # -- roll-up of species ----------------------------------------------------------------------------
 
+#: Reads of each sample, by the user's word.
+_TOTAL_READS = 20_000
+
+
+@_query(
+    f"""select e.sample, cluster, round(rel_abun * least(1.0::double, coalesce(mapped, 0) / {_TOTAL_READS}::double), 6) as rel_abun from emitted e left join mapped m on m.sample = e.sample
+    union all select t.sample, 'UNKNOWN', round((1 - least(1.0::double, coalesce(mapped, 0) / {_TOTAL_READS}::double)) * 100, 6) from totals t left join mapped m on m.sample = t.sample""",
+    extra=_EMITTED | {"mapped": "select sample, sum(read_sum) as mapped from rolled where clade like 's%' group by sample"},
+)
+def unknown_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Clades as shares of all reads, with a row for those that no species explains."""
+    clades, rolled = _rolled(spark, d, 2000)
+    return plans.with_unknown(taxonomy.emitted(rolled, clades), rolled, _TOTAL_READS).select("sample", "cluster", _r("rel_abun"))
+
 
 @_query()
 def sorted_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -68,6 +68,8 @@ class Options:
     dedup_reads: bool = False
     xeq: bool = False
     parts_per_sample: int = 10
+    unknown: bool = False
+    total_reads: int | None = None
 
     def resolved(self) -> Options:
         if bool(self.fastq_list) == bool(self.sam_list):
@@ -86,6 +88,8 @@ class Options:
                     raise ValueError("comg by species needs the species' genomes")
             elif not (self.marker_json and self.taxonomy_json):
                 raise ValueError("meph needs markers and taxonomy as JSON")
+        if self.unknown and (self.pipeline is not Pipeline.MEPHN or not self.total_reads or self.total_reads < 0):
+            raise ValueError("unknown shares need mephn and the number of all reads")
         if self.statistic not in STATISTICS:
             raise ValueError(f"no such statistic: {self.statistic}")
         return self
@@ -96,14 +100,14 @@ def parse(arguments: list[str]) -> Options:
     text = {"-i": "fastq_list", "-s": "sam_list", "-o": "output", "-r": "reference_matrix", "-g": "species_genomes", "-x": "aligner_index", "--marker-json": "marker_json", "--taxonomy-json": "taxonomy_json", "--exclude-markers": "excluded_markers", "--gc-model": "gc_model", "--taxa-level": "taxa_level"}
     for flag, name in text.items():
         parser.add_argument(flag, dest=name, default=getattr(Options, name))
-    for name, kind in (("min_identity", float), ("min_align_len", int), ("min_mapq", int), ("insert_size", int), ("min_marker_len", int), ("parts_per_sample", int)):
+    for name, kind in (("min_identity", float), ("min_align_len", int), ("min_mapq", int), ("insert_size", int), ("min_marker_len", int), ("parts_per_sample", int), ("total_reads", int)):
         parser.add_argument(f"--{name.replace('_', '-')}", dest=name, type=kind, default=getattr(Options, name))
     parser.add_argument("--statistic", choices=STATISTICS, default=Options.statistic)
     parser.add_argument("--pipeline", type=Pipeline, default=Options.pipeline)
     parser.add_argument("--level", type=Level, default=Options.level)
     parser.add_argument("--mode", type=SequencingMode, default=Options.mode)
     parser.add_argument("--layout", type=Layout, default=Options.layout)
-    for name in ("gc_recalibration", "skip_alignment", "skip_profiling", "dedup_reads", "xeq"):
+    for name in ("gc_recalibration", "skip_alignment", "skip_profiling", "dedup_reads", "xeq", "unknown"):
         parser.add_argument(f"--{name.replace('_', '-')}", dest=name, action="store_true")
     parser.add_argument("--no-disqm", dest="disambiguate", action="store_false")
     return Options(**vars(parser.parse_args(arguments))).resolved()

@@ -78,7 +78,29 @@ def profile_clades(alignments: DataFrame, markers: DataFrame, lineages: DataFram
     clades = taxonomy.clade_tree(lineages)
     used = marker_cells(alignments, markers, clades, options)
     rolled = taxonomy.rolled_up(taxonomy.local_abundance(used, clades, options.statistic), clades, options.min_marker_len)
-    return taxonomy.emitted(rolled, clades, options.taxa_level)
+    profile = taxonomy.emitted(rolled, clades, options.taxa_level)
+    if options.unknown:
+        return with_unknown(profile, rolled, options.total_reads, options.taxa_level, options.layout is not Layout.CAMI)
+    return profile
+
+
+def with_unknown(profile: DataFrame, rolled: DataFrame, total_reads: int, level: str = "a", named: bool = True) -> DataFrame:
+    """The profile with relative abundances as shares of all ``total_reads`` reads of a sample, not of the mapped ones alone.
+
+    Mapped reads are those of all species; a share beyond 1 is 1. With all ranks an UNKNOWN row takes the remainder
+    if ``named``; at one rank the row for the remainder grows instead.
+    """
+    mapped = rolled.where(F.col("clade").startswith("s")).groupBy("sample").agg(F.sum("read_sum").alias("mapped"))
+    share = F.least(F.lit(1.0), F.coalesce("mapped", F.lit(0.0)) / F.lit(total_reads))
+    joined = profile.join(mapped, "sample", "left").withColumn("share", share)
+    rel = F.col("rel_abun") * F.col("share")
+    if level != "a":
+        rel = F.when(F.col("cluster") == f"{level}__unclassified", 100 - F.col("share") * (100 - F.col("rel_abun"))).otherwise(rel)
+    scaled = joined.withColumn("rel_abun", rel).select(*profile.columns)
+    if level != "a" or not named:
+        return scaled
+    rest = profile.select("sample").distinct().join(mapped, "sample", "left").select("sample", F.lit("UNKNOWN").alias("cluster"), (F.lit(total_reads) - F.coalesce("mapped", F.lit(0.0))).alias("read_sum"), F.lit(0.0).alias("abundance"), ((1 - share) * 100).alias("rel_abun"))
+    return scaled.unionByName(rest)
 
 
 def with_taxids(profile: DataFrame, lineages: DataFrame, total_reads: DataFrame | None = None) -> DataFrame:

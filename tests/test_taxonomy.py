@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from cladespark.operators import gaps, gc_training, ncbi, prep, statistics, taxonomy
 from cladespark.streaming import live_counts
 from cladespark.operators import evaluate
+from cladespark.plans import profile
+from cladespark.plans.options import Options, Pipeline
 
 
 def plain_statistic(name, markers):
@@ -226,6 +228,24 @@ def test_prefix_match(spark):
         prep.checked_taxids(spark.createDataFrame([("x",)], "accession string"), spark.createDataFrame([("y", 1)], "accession string, taxid long"))
 
 
+def test_unknown_share(spark):
+    """Half of the reads known; more known than given; a sample without reads of species; one rank."""
+    rolled = spark.createDataFrame([("a", "s__A", 50.0), ("a", "t__A", 9.0), ("a", "g__A", 9.0), ("b", "s__A", 300.0), ("c", "g__A", 5.0)], "sample string, clade string, read_sum double")
+    columns = "sample string, cluster string, read_sum double, abundance double, rel_abun double"
+    own = spark.createDataFrame([(x, "k__Bacteria", 0.0, 2.0, 100.0) for x in "abc"], columns)
+    got = {(r["sample"], r["cluster"]): (r["read_sum"], r["rel_abun"]) for r in profile.with_unknown(own, rolled, 100).collect()}
+    assert got == {
+        ("a", "k__Bacteria"): (0.0, 50.0), ("b", "k__Bacteria"): (0.0, 100.0), ("c", "k__Bacteria"): (0.0, 0.0),
+        ("a", "UNKNOWN"): (50.0, 50.0), ("b", "UNKNOWN"): (-200.0, 0.0), ("c", "UNKNOWN"): (100.0, 100.0),
+    }
+    assert profile.with_unknown(own, rolled, 100, named=False).count() == 3
+    rows = spark.createDataFrame([("a", "s__A", 50.0, 2.0, 80.0), ("a", "s__unclassified", 0.0, 0.0, 20.0)], columns)
+    assert {r["cluster"]: r["rel_abun"] for r in profile.with_unknown(rows, rolled, 100, "s").collect()} == {"s__A": 40.0, "s__unclassified": 60.0}
+    assert profile.with_unknown(own.limit(0), rolled, 100).count() == 0
+    with pytest.raises(ValueError):
+        Options(output="o", sam_list="l", marker_json="m", taxonomy_json="t", pipeline=Pipeline.MEPHN, unknown=True).resolved()
+
+
 def test_truth_species(spark):
     rows = spark.createDataFrame([(1, "7", "1|7", "a|b"), (2, "9", "1|7|9", "a|b|c"), (3, "8", "1|8", "a|Known one"), (4, "5", "1|5", "x")], "row_id int, taxid string, taxpath string, taxpathsn string")
     truth = spark.createDataFrame([("7", "b"), ("70", "Known one")], "taxid string, species string")
