@@ -191,3 +191,51 @@ def test_many_equal_vectors(spark):
     group = [0, *range(1000, 1400), *range(2000, 2003)]
     assert all((got[i]["n_links"], got[i]["component_id"]) == (403, 0) for i in group)
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in range(1, 300))
+
+
+def test_cells_do_not_grow_with_the_input():
+    """A vector goes to few of many cells, and pairs at just the threshold meet in one."""
+    rng = np.random.default_rng(13)
+    full = rng.normal(size=(9000, 32))
+    full[:400] = full[0] + 0.02 * rng.normal(size=(400, 32))
+    unit = (full / np.linalg.norm(full, axis=1)[:, None]).astype(np.float32)
+    unit = unit[rng.permutation(9000)]
+    cells = hnsw.fit_cells(unit[:3000], 9000, 0.95, 60)
+    assert len(cells.pivots) >= 100 and (cells.pivots @ cells.pivots.T - np.eye(len(cells.pivots))).max() < 0.95
+    away = rng.normal(size=unit.shape)
+    away -= np.einsum("ad,ad->a", away, unit)[:, None] * unit
+    partners = (0.95 * unit + (1 - 0.95**2) ** 0.5 * away / np.linalg.norm(away, axis=1)[:, None]).astype(np.float32)
+    own, other = cells.of(unit), cells.of(partners)
+    assert own.shape[1] <= max(hnsw.CELLS) and (own[:, 0] >= 0).all()
+    assert (hnsw._meet(own, other) < len(cells.pivots)).mean() >= 0.95
+    assert hnsw.fit_cells(unit[:3000], 9000, 0.95, 9000) is None
+
+
+def test_cells_of_several_blocks(spark):
+    """Large cells are dealt to blocks: numbers and components by brute force, with equal vectors and two lengths."""
+    rng = np.random.default_rng(17)
+    full = rng.normal(size=(4000, 24))
+    full[:1500] = full[0] + 0.05 * rng.normal(size=(1500, 24))
+    full[1500:1560] = full[1500]
+    unit = full / np.linalg.norm(full, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(full)] + [(5000 + i, [1.0, i / 10]) for i in range(3)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in hnsw.near_duplicates(frame, shard_rows=50).collect()}
+    assert len(got) == 4003 and [got[5000 + i]["n_links"] for i in range(3)] == [2, 2, 2]
+    counts = np.array([got[i]["n_links"] for i in range(4000)])
+    wanted = linked.sum(axis=1)
+    assert (counts <= wanted).all() and counts.sum() >= 0.98 * wanted.sum()
+    assert (counts[1500:1560] >= 59).all()
+    of = roots(range(4000), zip(*np.nonzero(linked)))
+    assert sum(got[i]["component_id"] == of[i] for i in range(4000)) >= 3980
+
+
+def test_vectors_go_to_few_cells(spark, monkeypatch):
+    """The rows that are dealt out grow with the vectors, not with vectors times cells."""
+    rng = np.random.default_rng(19)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 32)))], "vec_id long, embedding array<double>")
+    dealt = []
+    monkeypatch.setattr(hnsw, "dealt", lambda *a, deal=hnsw.dealt: dealt.append(deal(*a)) or dealt[0])
+    assert hnsw.near_duplicates(frame, shard_rows=30).where("n_links = 0").count() == 3000
+    assert dealt[0].count() <= max(hnsw.CELLS) * 3000 and dealt[0].select("cell").distinct().count() >= 60
