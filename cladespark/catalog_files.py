@@ -419,7 +419,7 @@ def gc_training_points(spark: SparkSession, d: str) -> DataFrame:
     """Points written as the table that a fit elsewhere reads, and read back."""
     genomes = _sequences(spark, d).selectExpr("species", "0.4D as genome_gc")
     reads = gc_training.training_reads(bridge.alignments(spark, d), 0.87).withColumn("species", F.col("rname"))
-    points = gc_training.training_points(reads, gc_training.window_gc(_sequences(spark, d), 20), genomes, 20)
+    points = gc_training.training_points(reads, _sequences(spark, d), genomes, 20)
     path = sinks.write_table(points, new_path(spark, "points"))
     return spark.read.csv(path, sep="\t", schema="species string, gc int, genome_gc double, coverage double").select("species", "gc", "genome_gc", _r("coverage"))
 

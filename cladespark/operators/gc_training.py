@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -16,11 +17,16 @@ from ..storage import dropped, stored
 #: Bases of a window, and N's in it from which it is masked.
 WINDOW, MOST_N = 100, 4
 MIN_IDENTITY = 0.97
+#: Windows of a piece of a sequence, and letters of pieces that a task holds.
+BLOCK, MOST_LETTERS = 1 << 18, 16 << 20
 
 
 def _shares(seq: str | None, window: int) -> np.ndarray:
     """Percent of G and C of each window, -1 for masked ones."""
-    letters = np.frombuffer((seq or "").upper().encode(), np.uint8)
+    return _letter_shares(np.frombuffer((seq or "").upper().encode(), np.uint8), window)
+
+
+def _letter_shares(letters: np.ndarray, window: int) -> np.ndarray:
     n = max(0, len(letters) - window - 1)
     at = np.arange(n)
     gc = np.concatenate([[0], np.cumsum((letters == ord("G")) | (letters == ord("C")))])
@@ -77,15 +83,65 @@ def training_reads(alignments: DataFrame, min_identity: float = MIN_IDENTITY) ->
     return alignments.where(al.is_mapped(F.col("flag")) & (al.identity(F.col("cigar"), F.col("md")) >= min_identity))
 
 
-def training_points(reads: DataFrame, windows: DataFrame, genomes: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(species, gc, genome_gc, coverage): reads per window of each GC value over the mean of all species' reads per window."""
+def _pieces(genomes: DataFrame, window: int) -> DataFrame:
+    """(species, block, piece): the letters of each ``BLOCK`` windows of a sequence, with those that the last of them reach."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found, held = [], 0
+            for species, seq in zip(frame["species"], frame["seq"], strict=True):
+                letters = (seq or "").upper().encode()
+                n = max(0, len(letters) - window - 1)
+                found += [(species, a // BLOCK, letters[a : min(a + BLOCK, n) + window + 1]) for a in range(0, n, BLOCK)]
+                held += len(letters)
+                if held > MOST_LETTERS:
+                    yield pd.DataFrame(found, columns=["species", "block", "piece"])
+                    found, held = [], 0
+            yield pd.DataFrame(found, columns=["species", "block", "piece"])
+
+    return genomes.select("species", "seq").mapInPandas(run, "species string, block long, piece binary")
+
+
+def window_cells(reads: DataFrame, genomes: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(species, gc, n, reads): windows that aren't masked by their GC, and reads that stand for them. No window is a row.
+
+    Reads are summed by start, and the sums of a block of starts meet the letters of its windows; neither is broadcast,
+    since the planner takes sequences for as small as their compressed files.
+    """
     starts = reads.select("species", read_start(F.col("flag"), F.col("pos"), F.col("cigar"), window).cast("long").alias("start")).where("start > 0")
-    hits = starts.join(windows.where("gc >= 0"), ["species", "start"]).groupBy("species", "gc").agg(F.count("*").alias("reads"))
-    cells = gc_histogram(windows).join(hits, ["species", "gc"], "left").withColumn("reads", F.coalesce("reads", F.lit(0)))
+    sums = starts.groupBy("species", "start").agg(F.count("*").alias("reads"))
+    block = F.floor((F.col("start") - 1) / BLOCK).cast("long")
+    hits = sums.groupBy("species", block.alias("block")).agg(F.collect_list(((F.col("start") - 1) % BLOCK).cast("int")).alias("at"), F.collect_list("reads").alias("reads"))
+    joined = _pieces(genomes, window).join(hits.hint("merge"), ["species", "block"], "left")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            cells: dict[str, np.ndarray] = {}
+            for species, piece, at, hit in zip(frame["species"], frame["piece"], frame["at"], frame["reads"], strict=True):
+                share = _letter_shares(np.frombuffer(piece, np.uint8), window)
+                counts = np.zeros((2, 101), np.int64)
+                counts[0] = np.bincount(share[share >= 0], minlength=101)
+                if at is not None:
+                    at, hit = np.asarray(at, np.int64), np.asarray(hit, np.int64)
+                    at, hit = at[at < len(share)], hit[at < len(share)]
+                    known = share[at] >= 0
+                    np.add.at(counts[1], share[at[known]], hit[known])
+                cells[species] = cells.get(species, 0) + counts
+            for some in batched(cells.items(), 4096):
+                found = [(species, np.flatnonzero(c[0]), c[:, c[0] > 0]) for species, c in some]
+                yield pd.DataFrame({"species": np.repeat([x[0] for x in found], [len(x[1]) for x in found]), "gc": np.concatenate([x[1] for x in found]), "n": np.concatenate([x[2][0] for x in found]), "reads": np.concatenate([x[2][1] for x in found])})
+
+    counted = joined.select("species", "piece", "at", "reads").mapInPandas(run, "species string, gc int, n long, reads long")
+    return counted.groupBy("species", "gc").agg(F.sum("n").alias("n"), F.sum("reads").alias("reads"))
+
+
+def training_points(reads: DataFrame, sequences: DataFrame, genomes: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(species, gc, genome_gc, coverage): reads per window of each GC value over the mean of all species' reads per window."""
+    cells = stored(window_cells(reads, sequences, window), "cells")
     species = cells.groupBy("species").agg(F.sum("n").alias("windows"), F.sum("reads").alias("own"))
     overall = species.agg((F.sum("own") / F.count("*")).alias("per_species"))
     mean = F.col("per_species") / F.col("windows")
-    joined = cells.join(species, "species").join(F.broadcast(overall)).join(genomes.select("species", "genome_gc"), "species")
+    joined = cells.join(species.hint("merge"), "species").join(F.broadcast(overall)).join(genomes.select("species", "genome_gc").hint("merge"), "species")
     return joined.where(mean > 0).select("species", "gc", "genome_gc", (F.col("reads") / F.col("n") / mean).alias("coverage"))
 
 
@@ -161,8 +217,6 @@ def train(alignments: DataFrame, sequences: DataFrame, genomes: DataFrame, windo
 
     The points can be written (``sinks.reports.write_table``) instead of being fitted elsewhere.
     """
-    windows = stored(window_gc(sequences, window), "windows")
     reads = training_reads(alignments, min_identity).withColumn("species", F.col("rname"))
-    points = stored(training_points(reads, windows, genomes, window), "points")
-    dropped(windows)
+    points = stored(training_points(reads, sequences, genomes, window), "points")
     return points, fit(points)

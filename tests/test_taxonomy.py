@@ -144,6 +144,33 @@ def test_window_gc(spark):
         assert value == (-1 if window.count("N") > 4 else 100 * sum(c in "GC" for c in window) // 20)
 
 
+def test_training_points_by_pieces(spark, tmp_path, monkeypatch):
+    """Reads meet the windows of their species piece by piece, and neither side is broadcast, however small the planner takes it for."""
+    monkeypatch.setattr(gc_training, "BLOCK", 16)
+    window = 20
+    seqs = {"a": "GC" * 30 + "AT" * 30 + "N" * 8 + "G" * 60, "b": "ACGT" * 20, "c": "ACG"}
+    spark.createDataFrame(list(seqs.items()), "species string, seq string").write.parquet(f"{tmp_path}/seqs")
+    sequences = spark.read.parquet(f"{tmp_path}/seqs")
+    starts = [("a", k % 170 + 1) for k in range(400)] + [("a", 1), ("a", 16), ("a", 17), ("a", 10_000), ("b", 3), ("b", 59), ("c", 1), ("d", 1)]
+    reads = spark.createDataFrame([(s, 0, p, "20M") for s, p in starts], "species string, flag int, pos int, cigar string")
+    wanted = {}
+    for species, seq in seqs.items():
+        for k in range(max(0, len(seq) - window - 1)):
+            part = seq[k : k + window]
+            if part.count("N") <= 4:
+                cell = wanted.setdefault((species, 100 * sum(c in "GC" for c in part) // window), [0, 0])
+                cell[0] += 1
+                cell[1] += starts.count((species, k + 1))
+    cells = gc_training.window_cells(reads, sequences, window)
+    assert "Broadcast" not in cells._jdf.queryExecution().executedPlan().toString()
+    assert {(r["species"], r["gc"]): [r["n"], r["reads"]] for r in cells.collect()} == wanted
+    genomes = spark.createDataFrame([("a", 0.4), ("b", 0.5)], "species string, genome_gc double")
+    points = gc_training.training_points(reads, sequences, genomes, window).collect()
+    own = {s: [sum(v[k] for (t, _), v in wanted.items() if t == s) for k in (0, 1)] for s in "ab"}
+    mean = (own["a"][1] + own["b"][1]) / 2
+    assert {(r["species"], r["gc"]): r["coverage"] for r in points} == {k: pytest.approx(v[1] / v[0] / (mean / own[k[0]][0])) for k, v in wanted.items()}
+
+
 def test_gc_fit(spark):
     from cladespark.functions.gc import BUILTIN, coverage
 
