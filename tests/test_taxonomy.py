@@ -171,6 +171,17 @@ def test_training_points_by_pieces(spark, tmp_path, monkeypatch):
     assert {(r["species"], r["gc"]): r["coverage"] for r in points} == {k: pytest.approx(v[1] / v[0] / (mean / own[k[0]][0])) for k, v in wanted.items()}
 
 
+def test_training_keeps_no_windows(spark, monkeypatch):
+    """A training run writes sums by species and GC, not a row for each window."""
+    written = {}
+    monkeypatch.setattr(gc_training, "stored", lambda frame, name, write=gc_training.stored: written.setdefault(name, write(frame, name)))
+    sequences = spark.createDataFrame([("a", "ACGT" * 500)], "species string, seq string")
+    reads = spark.createDataFrame([("a", 0, k, "20M", "20") for k in range(1, 50)], "rname string, flag int, pos int, cigar string, md string")
+    points, _ = gc_training.train(reads, sequences, spark.createDataFrame([("a", 0.5)], "species string, genome_gc double"), 20)
+    assert [r["gc"] for r in points.collect()] == [50]
+    assert written["cells"].count() == 1 and "windows" not in written
+
+
 def test_gc_fit(spark):
     from cladespark.functions.gc import BUILTIN, coverage
 
